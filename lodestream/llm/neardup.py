@@ -52,13 +52,11 @@ WIDTH, THRESHOLD = 5, 0.8
 SKETCH_BITS = 22
 #: Tokens of at most so many texts are single signatures, of at most so many pairs; others triples.
 SINGLE_UP_TO, PAIR_UP_TO = 8, 64
-PAIR_GROUPS = 4
-#: Bands below this size use single tokens only.
+#: Bands of sizes are powers of 2 and of single tokens only below this, and grow by 4 from it.
 LEAST_BAND = 32
-#: A task handles about this many texts of one group of a band.
-TEXTS_PER_PART = 300_000
-#: Pairs compared at a time.
-SLICE = 2_000_000
+#: A task gets about this many texts of one group of a band, and works on slices of its combinations.
+TEXTS_PER_PART, TEXTS_PER_SLICE = 2_000_000, 60_000
+PAIRS_AT_A_TIME = 1_000_000
 _WORD = re.compile(r"[^\W_]+")
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
@@ -149,179 +147,208 @@ class Scheme:
 
     def __init__(self, threshold: float):
         self.t = threshold
-        self.ratio = 2.0
+        small = [1 << b for b in range(int(math.log2(LEAST_BAND)) + 1)]
+        self.starts = np.array(small + [LEAST_BAND * 4**b for b in range(1, 16)], np.int64)
 
-    def band(self, n: int) -> int:
-        return int(math.log2(n))
+    def band(self, n):
+        return np.searchsorted(self.starts, n, side="right") - 1
 
-    def bands(self, n: int) -> list[int]:
-        """The bands in which a text of n tokens may have a linked partner that is not larger."""
-        return list(range(self.band(max(1, math.ceil(n * self.t - 1e-9))), self.band(n) + 1))
-
-    def least_common(self, a: int, b: int) -> int:
-        return math.ceil((a + b) * self.t / (1 + self.t) - 1e-9)
+    def bounds(self, band: int) -> tuple[int, int]:
+        return int(self.starts[band]), int(self.starts[band + 1])
 
     def triple_groups(self, band: int) -> int:
-        """0: single tokens only."""
-        s = 1 << band
-        if s < LEAST_BAND:
-            return 0
-        # the smaller text has at least s tokens and shares at least t * s with the larger one
-        return max(0, (math.ceil(self.t * s - 1e-9) - 1 - PAIR_GROUPS) // 2) if self.t * s > PAIR_GROUPS + 3 else 0
-
-    def may_miss(self, n: int, band: int) -> int:
-        """The most tokens of a text of n that a linked partner may lack, in a band: the partner is
-        no smaller than the band and than t * n."""
-        partner = max(1 << band, math.ceil(n * self.t - 1e-9)) if n >= 1 << band else n
-        return n - self.least_common(n, min(partner, n))
-
-
-def _deal(tokens: np.ndarray, levels: np.ndarray, scheme: Scheme, n_parts: int):
-    """(band, group, part, tokens): the rows of one text. Group 0 has single tokens, groups 1 to
-    PAIR_GROUPS pairs, later ones triples."""
-    n = len(tokens)
-    level = levels[tokens & np.uint32((1 << SKETCH_BITS) - 1)]
-    order = np.lexsort((tokens, level))
-    tokens, level = tokens[order], level[order]
-    mixed = tokens.astype(np.uint64) * _M2
-    mixed ^= mixed >> np.uint64(31)
-    for band in scheme.bands(n):
-        m = scheme.triple_groups(band)
+        """0: single tokens only. Of a pair with sizes a <= b at least t * a tokens are common, and
+        without a common signature at most 1 + 2 * groups are."""
+        s = int(self.starts[band])
+        most = (math.ceil(self.t * s - 1e-9) - 2) // 2
+        return 0 if s < LEAST_BAND or most < 1 else min(most, max(8, s // 8))
+
+    def may_miss(self, n: np.ndarray, band: int) -> np.ndarray:
+        """The most tokens of a text of n that a linked partner may lack, in a band: of the two the
+        smaller is in the band, so a partner is no smaller than the band and than t * n."""
+        partner = np.maximum(self.starts[band], np.ceil(n * self.t - 1e-9))
+        partner = np.minimum(partner, n)
+        return (n - np.ceil((n + partner) * (self.t / (1 + self.t)) - 1e-9)).astype(np.int64)
+
+
+def _mix(tokens: np.ndarray) -> np.ndarray:
+    m = tokens.astype(np.uint64) * _M2
+    return m ^ (m >> np.uint64(31))
+
+
+def _words(band_start: int) -> int:
+    """64-bit words of the bitmaps of a band: some more bits than its larger texts have tokens."""
+    return 2 if band_start < LEAST_BAND else min(96, 6 * max(1, band_start // 64))
+
+
+def _bitmaps(doc: np.ndarray, tokens: np.ndarray, n_docs: int, words: int) -> np.ndarray:
+    """(n_docs, words): the parity of each text's tokens in 64 * words cells."""
+    cell = ((tokens.astype(np.uint64) * _M1) >> np.uint64(33)) % np.uint64(64 * words)
+    out = np.zeros((n_docs, words), np.uint64)
+    np.bitwise_xor.at(out, (doc, (cell >> np.uint64(6)).astype(np.int64)), np.uint64(1) << (cell & np.uint64(63)))
+    return out
+
+
+def _deal(sets: list[np.ndarray], levels: np.ndarray, scheme: Scheme, n_parts: int, taken: np.ndarray):
+    """(band, group, part, texts, tokens in each, tokens, bitmaps of the texts) for a batch of texts.
+    Group 0 has single tokens, group 1 pairs, later ones triples. ``taken``: bands with any text."""
+    size = np.array([len(x) for x in sets], np.int64)
+    low = scheme.band(np.maximum(1, np.ceil(size * scheme.t - 1e-9)))
+    high = scheme.band(np.maximum(1, size))
+    for band in np.flatnonzero(taken):
+        texts = np.flatnonzero((size > 0) & (low <= band) & (band <= high))
+        if not len(texts):
+            continue
+        n = size[texts]
+        doc = np.repeat(np.arange(len(texts)), n)
+        tokens = np.concatenate([sets[i] for i in texts])
+        bitmaps = _bitmaps(doc, tokens, len(texts), _words(int(scheme.starts[band])))
+        level = levels[tokens & np.uint32((1 << SKETCH_BITS) - 1)]
+        mixed = _mix(tokens)
+        m = scheme.triple_groups(int(band))
         if m:
             k = np.where(level <= 2 * math.log2(SINGLE_UP_TO), 1, np.where(level <= 2 * math.log2(PAIR_UP_TO), 2, 3))
-            group = np.where(k == 1, 0, np.where(k == 2, 1 + (mixed % np.uint64(PAIR_GROUPS)).astype(np.int64), 1 + PAIR_GROUPS + (mixed % np.uint64(m)).astype(np.int64)))
+            group = np.where(k <= 2, k - 1, 2 + (mixed % np.uint64(m)).astype(np.int64))
         else:
-            k, group = np.ones(n, np.int64), np.zeros(n, np.int64)
-        o = np.argsort(group, kind="stable")
-        g = group[o]
-        first = np.r_[0, np.flatnonzero(g[1:] != g[:-1]) + 1]
-        nth = np.empty(n, np.int64)
-        nth[o] = np.arange(n) - np.repeat(first, np.diff(np.r_[first, n]))
-        covered = np.cumsum(nth >= k - 1)
-        need = scheme.may_miss(n, band) + 1
-        end = int(np.searchsorted(covered, need)) + 1 if covered[-1] >= need else n
-        o = o[o < end]
-        g = group[o]
-        starts = np.r_[0, np.flatnonzero(g[1:] != g[:-1]) + 1]
-        for s, e in zip(starts, np.r_[starts[1:], len(o)]):
-            kk = int(k[o[s]])
-            if e - s < kk:
-                continue
-            own = tokens[o[s:e]]
-            if n_parts == 1:
-                yield band, int(g[s]), 0, own
-            else:
-                for part in np.unique(mixed[o[s : e - kk + 1]] >> np.uint64(7) & np.uint64(n_parts - 1)):
-                    yield band, int(g[s]), int(part), own
-
-
-def _bitmap(tokens: np.ndarray, words: int) -> np.ndarray:
-    """Parity of the number of tokens in each of 64 * words cells."""
-    cell = (tokens.astype(np.uint64) * _M1 >> np.uint64(33)) % np.uint64(64 * words)
-    odd = (np.bincount(cell.astype(np.int64), minlength=64 * words) & 1).astype(np.uint8)
-    return np.packbits(odd).view(np.uint64)
-
-
-def _words(band: int) -> int:
-    """64-bit words of the bitmaps in a band: some two bits for each token of its largest texts."""
-    return max(2, min(64, 1 << max(0, band - 4)))
-
-
-def _matches(ids, sizes, bitmaps, lists, k: int, scheme: Scheme, part: int, n_parts: int):
-    """Pairs of rows that share a combination of k tokens and pass the bounds; each pair once."""
-    length = np.array([len(x) for x in lists])
-    flat = np.concatenate(lists)
-    start = np.r_[0, np.cumsum(length)[:-1]]
-    sigs, rows = [], []
+            k, group = np.ones(len(tokens), np.int64), np.zeros(len(tokens), np.int64)
+        o = np.lexsort((tokens, level, doc))  # the global order within each text
+        doc, tokens, level, k, group, mixed = doc[o], tokens[o], level[o], k[o], group[o], mixed[o]
+        by = np.lexsort((np.arange(len(doc)), group, doc))
+        change = np.flatnonzero(np.r_[True, (doc[by][1:] != doc[by][:-1]) | (group[by][1:] != group[by][:-1])])
+        nth = np.empty(len(doc), np.int64)
+        nth[by] = np.arange(len(doc)) - np.repeat(change, np.diff(np.r_[change, len(doc)]))
+        covers = (nth >= k - 1).astype(np.int64)
+        first = np.cumsum(n) - n
+        covered = np.cumsum(covers) - covers  # before each token, within its text
+        covered -= np.repeat(covered[first], n)
+        keep = covered < np.repeat(scheme.may_miss(n, int(band)) + 1, n)
+        by = by[keep[by]]  # by text and group, in the global order
+        doc, tokens, group, mixed, k = doc[by], tokens[by], group[by], mixed[by], k[by]
+        change = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (group[1:] != group[:-1])])
+        length = np.diff(np.r_[change, len(doc)])
+        enough = length >= k[change]
+        for g in np.unique(group[change[enough]]):
+            own = np.flatnonzero(enough & (group[change] == g))
+            c, ln = change[own], length[own]
+            for part in range(n_parts):
+                if n_parts > 1:  # those where a token that may be a combination's first is of the part
+                    flat = np.repeat(c, ln) + _ramp(ln)
+                    lead = _ramp(ln) <= np.repeat(ln - k[c], ln)
+                    hit = lead & (((mixed[flat] >> np.uint64(7)) & np.uint64(n_parts - 1)) == part)
+                    some = np.add.reduceat(hit, np.cumsum(ln) - ln) > 0
+                    cc, ll = c[some], ln[some]
+                else:
+                    cc, ll = c, ln
+                if len(cc):
+                    yield int(band), int(g), part, texts[doc[cc]], ll, tokens[np.repeat(cc, ll) + _ramp(ll)], bitmaps[doc[cc]]
+
+
+def _ramp(lengths: np.ndarray) -> np.ndarray:
+    """0, 1, ... for each of the lengths, one after the other."""
+    return np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+
+
+def _combinations(flat, start, length, k: int, slices: int, nth: int, part: int, n_parts: int):
+    """(signatures, rows): the combinations of k tokens of each row whose first token is of the part
+    and of the nth slice."""
+    sigs, rows = [np.zeros(0, np.uint64)], [np.zeros(0, np.int32)]
     for L in np.unique(length):
         if L < k:
             continue
         r = np.flatnonzero(length == L)
         T = flat[start[r][:, None] + np.arange(L)]
-        for c in itertools.combinations(range(L), k):
-            at = r
-            if n_parts > 1:
-                mixed = T[:, c[0]].astype(np.uint64) * _M2
-                mixed ^= mixed >> np.uint64(31)
-                here = (mixed >> np.uint64(7) & np.uint64(n_parts - 1)) == part
-                at, cols = r[here], T[here]
-            else:
-                cols = T
-            h = np.zeros(len(at), np.uint64)
-            for j in c:
-                h = (h + cols[:, j].astype(np.uint64) + np.uint64(1)) * _M1
-                h ^= h >> np.uint64(29)
-            sigs.append(h)
-            rows.append(at.astype(np.int32))
-    if not sigs:
+        M = _mix(T[:, : L - k + 1])
+        mine = ((M >> np.uint64(7)) & np.uint64(n_parts - 1)) == part
+        mine &= (M >> np.uint64(33)) % np.uint64(slices) == nth
+        for lead in range(L - k + 1):
+            at = np.flatnonzero(mine[:, lead])
+            if not len(at):
+                continue
+            cols = T[at].astype(np.uint64)
+            h0 = (cols[:, lead] + np.uint64(1)) * _M1
+            h0 ^= h0 >> np.uint64(29)
+            for rest in itertools.combinations(range(lead + 1, L), k - 1):
+                h = h0
+                for j in rest:
+                    h = (h + cols[:, j] + np.uint64(1)) * _M1
+                    h = h ^ (h >> np.uint64(29))
+                sigs.append(h)
+                rows.append(r[at].astype(np.int32))
+    return np.concatenate(sigs), np.concatenate(rows)
+
+
+def _matches(ids, sizes, bitmaps, flat, length, k: int, scheme: Scheme, band: int, part: int, n_parts: int):
+    """Pairs of rows that share a combination of k tokens and pass the bounds on size and bitmaps.
+    Of each pair the smaller text is in the band: pairs of larger ones are made in their own."""
+    start = np.cumsum(length) - length
+    large = (sizes >= scheme.bounds(band)[1]).astype(np.uint64)
+    if large.all():
         return
-    s, r = np.concatenate(sigs), np.concatenate(rows)
-    o = np.argsort(s, kind="stable")
-    s, r = s[o], r[o]
-    begin = np.flatnonzero(np.r_[True, s[1:] != s[:-1]])
-    n = np.diff(np.r_[begin, len(s)])
-    begin, n = begin[n > 1], n[n > 1]
-    # each entry is paired with those after it in its run, in slices of bounded size
-    entry = np.repeat(begin, n) + (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
-    after = np.repeat(begin + n, n) - entry - 1
-    entry, after = entry[after > 0], after[after > 0]
-    ends = np.cumsum(after)
-    lo = 0
-    while lo < len(entry):
-        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + SLICE)))
-        cnt = after[lo:hi]
-        x = np.repeat(entry[lo:hi], cnt)
-        y = x + 1 + (np.arange(len(x)) - np.repeat(np.cumsum(cnt) - cnt, cnt))
-        lo = hi
-        a, b = r[x], r[y]
-        pair = np.unique(np.minimum(a, b).astype(np.int64) << 32 | np.maximum(a, b).astype(np.int64))
-        a, b = pair >> 32, pair & 0xFFFFFFFF
-        differ = sizes[a] + sizes[b] - 2 * np.ceil((sizes[a] + sizes[b]) * (scheme.t / (1 + scheme.t)) - 1e-9)
-        ok = (np.minimum(sizes[a], sizes[b]) >= scheme.t * np.maximum(sizes[a], sizes[b]) - 1e-9) & (a != b)
-        a, b, differ = a[ok], b[ok], differ[ok]
-        bits = np.zeros(len(a), np.int64)
-        for w in range(bitmaps.shape[1]):
-            bits += np.bitwise_count(bitmaps[a, w] ^ bitmaps[b, w])
-        ok = bits <= differ
-        yield ids[a[ok]], ids[b[ok]]
+    share = scheme.t / (1 + scheme.t)
+    slices = max(1, math.ceil(len(ids) / TEXTS_PER_SLICE))
+    for nth in range(slices):
+        s, r = _combinations(flat, start, length, k, slices, nth, part, n_parts)
+        s = (s & ~np.uint64(1)) | large[r]  # larger texts after those of the band
+        o = np.argsort(s)
+        s, r = s[o], r[o]
+        key = s >> np.uint64(1)
+        begin = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
+        n = np.diff(np.r_[begin, len(key)])
+        begin, n = begin[n > 1], n[n > 1]
+        # each entry of the band is paired with those after it in its run, in slices of bounded size
+        entry = np.repeat(begin, n) + _ramp(n)
+        after = np.repeat(begin + n, n) - entry - 1
+        use = (after > 0) & ((s[entry] & np.uint64(1)) == 0)
+        entry, after = entry[use], after[use]
+        ends, lo = np.cumsum(after), 0
+        while lo < len(entry):
+            hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + PAIRS_AT_A_TIME)))
+            cnt = after[lo:hi]
+            x = np.repeat(entry[lo:hi], cnt)
+            a, b = r[x], r[x + 1 + _ramp(cnt)]
+            lo = hi
+            ok = (a != b) & (np.minimum(sizes[a], sizes[b]) >= scheme.t * np.maximum(sizes[a], sizes[b]) - 1e-9)
+            a, b = a[ok], b[ok]
+            both = sizes[a] + sizes[b]
+            slack = (both - 2 * np.ceil(both * share - 1e-9)).astype(np.int32)
+            half = bitmaps.shape[1] // 2
+            for cols in (range(half), range(half, bitmaps.shape[1])):  # most pairs end at the first half
+                bits = np.zeros(len(a), np.int32)
+                for w in cols:
+                    bits += np.bitwise_count(bitmaps[a, w] ^ bitmaps[b, w])
+                slack = slack - bits
+                ok = slack >= 0
+                a, b, slack = a[ok], b[ok], slack[ok]
+            yield np.unique(np.stack([np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b])]), axis=1)
 
 
 def class_pairs(classes: DataFrame, threshold: float) -> DataFrame:
-    """(a, b), a < b: candidates among the classes (c, n, tokens), each at most once a part."""
+    """(a, b), a < b: candidates among the classes (c, n, tokens), each once."""
     spark = classes.sparkSession
     scheme, levels = Scheme(threshold), _frequencies(classes)
-    total = classes.count()
-    n_parts = 1 << max(0, math.ceil(math.log2(max(1, total / TEXTS_PER_PART))))
+    edges = [int(x) for x in scheme.starts]
+    band_of = F.size(F.filter(F.array(*[F.lit(x) for x in edges]), lambda x: x <= F.col("n"))) - 1
+    counts = {r["band"]: r["count"] for r in classes.groupBy(band_of.alias("band")).count().collect()}  # a row for each band
+    taken = np.array([b in counts for b in range(len(edges))])
+    n_parts = 1 << max(0, math.ceil(math.log2(max(1, sum(counts.values()) / TEXTS_PER_PART))))
     shared = spark.sparkContext.broadcast(levels)  # 4 MB at every size of input
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lv = shared.value
         for b in batches:
-            out: dict[tuple[int, int, int], list] = {}
-            for c, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                tokens = np.frombuffer(t, np.uint32)
-                maps = {}
-                for band, group, part, own in _deal(tokens, lv, scheme, n_parts):
-                    if band not in maps:
-                        maps[band] = _bitmap(tokens, _words(band)).tobytes()
-                    out.setdefault((band, group, part), []).append((c, len(tokens), maps[band], own))
-            rows = [
-                (band, group, part, np.array([x[0] for x in v], np.int64).tobytes(), np.array([x[1] for x in v], np.int32).tobytes(), b"".join([x[2] for x in v]), np.array([len(x[3]) for x in v], np.int32).tobytes(), np.concatenate([x[3] for x in v]).tobytes())
-                for (band, group, part), v in out.items()
-            ]
+            ids = np.array(b.column(0).to_pylist(), np.int64)
+            sets = [np.frombuffer(t, np.uint32) for t in b.column(1).to_pylist()]
+            size = np.array([len(x) for x in sets], np.int32)
+            rows = [(band, group, part, ids[x].tobytes(), size[x].tobytes(), maps.tobytes(), ln.astype(np.int32).tobytes(), tokens.tobytes()) for band, group, part, x, ln, tokens, maps in _deal(sets, lv, scheme, n_parts, taken)]
             cols = list(zip(*rows)) if rows else [[]] * 8
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, [pa.int32()] * 3 + [pa.binary()] * 5)], ["band", "grp", "part", "ids", "sizes", "maps", "lens", "tokens"])
 
     def match(t):
-        rows = list(zip(*[t.column(i).to_pylist() for i in range(8)]))
-        band, group, part = rows[0][:3]
-        ids = np.concatenate([np.frombuffer(r[3], np.int64) for r in rows])
-        sizes = np.concatenate([np.frombuffer(r[4], np.int32) for r in rows]).astype(np.int64)
-        maps = np.concatenate([np.frombuffer(r[5], np.uint64) for r in rows]).reshape(len(ids), -1)
-        lens = np.concatenate([np.frombuffer(r[6], np.int32) for r in rows])
-        lists = np.split(np.concatenate([np.frombuffer(r[7], np.uint32) for r in rows]), np.cumsum(lens)[:-1])
-        k = 1 if group == 0 else 2 if group <= PAIR_GROUPS else 3
-        found = [np.zeros((2, 0), np.int64), *(np.stack([np.minimum(a, b), np.maximum(a, b)]) for a, b in _matches(ids, sizes, maps, lists, k, scheme, part, n_parts))]
+        band, group, part = (t.column(i)[0].as_py() for i in range(3))
+        whole = lambda i, kind: np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in t.column(i)])
+        ids, sizes, length, flat = whole(3, np.int64), whole(4, np.int32).astype(np.int64), whole(6, np.int32).astype(np.int64), whole(7, np.uint32)
+        maps = whole(5, np.uint64).reshape(len(ids), -1)
+        found = [np.zeros((2, 0), np.int64), *_matches(ids, sizes, maps, flat, length, min(group + 1, 3), scheme, band, part, n_parts)]
         a, b = np.unique(np.concatenate(found, axis=1), axis=1)
         return pa.Table.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
@@ -336,7 +363,7 @@ def links(df: DataFrame, key: str, text: str, width: int = WIDTH, threshold: flo
     sets = cut(_sets(df, key, text, width), "tokens")
     # a class's number comes from its tokens alone, so it is the same in any run
     members = cut(sets.where("n > 0").select("k", "c", "n").distinct(), "members")
-    classes = sets.where("n > 0").groupBy("c").agg(F.first("tokens").alias("tokens"))
+    classes = sets.where("n > 0").groupBy("c").agg(F.first("tokens").alias("tokens"), F.first("n").alias("n"))
     classes = cut(classes, "classes")
     forget(sets)
     candidates = cut(class_pairs(classes, threshold), "candidates")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodestream.llm import answers, consensus, encodings, mixing, neardup, residue, tokenization
+from lodestream.llm import answers, consensus, encodings, mixing, neardup, residue, subjects, tokenization
 from lodestream.plans.runtime import table
 
 # the definition of p2: three words, half of the tokens
@@ -72,9 +72,17 @@ def p8_report(spark, d):
     return _mix(spark, d)[1]
 
 
+def p9_found(spark, d):
+    return subjects.subjects(table(spark, d, "documents"), table(spark, d, "subject_labels"), "doc_id", "text", "source", "lang")
+
+
+def p9_composition(spark, d):
+    return subjects.composition(table(spark, d, "documents"), p9_found(spark, d), "doc_id")
+
+
 QUERIES = {
     f.__name__: f
-    for f in (p2_found, p2_groups, p3_found, p3_restored, p4_found, p5_found, p5_kept, p6_found, p6_items, p6_annotators, p7_ids, p8_mix, p8_report)
+    for f in (p2_found, p2_groups, p3_found, p3_restored, p4_found, p5_found, p5_kept, p6_found, p6_items, p6_annotators, p7_ids, p8_mix, p8_report, p9_found, p9_composition)
 }
 #: None of these can be said in SQL; tests compare them with brute force, round trips and held-out rows.
 ORACLES: dict[str, str] = {}
