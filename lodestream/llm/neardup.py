@@ -55,7 +55,7 @@ SINGLE_UP_TO, PAIR_UP_TO = 8, 64
 #: Bands of sizes are powers of 2 and of single tokens only below this, and grow by 4 from it.
 LEAST_BAND = 32
 #: A task gets about this many texts of one group of a band, and works on slices of its combinations.
-TEXTS_PER_PART, TEXTS_PER_SLICE = 2_000_000, 60_000
+TEXTS_PER_PART, TEXTS_PER_SLICE = 1_000_000, 60_000
 PAIRS_AT_A_TIME = 1_000_000
 _WORD = re.compile(r"[^\W_]+")
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)

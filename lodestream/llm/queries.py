@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodestream.llm import answers, consensus, encodings, mixing, neardup, residue, subjects, tokenization
+from lodestream.llm import answers, consensus, encodings, mixing, neardup, personal, residue, subjects, tokenization
 from lodestream.plans.runtime import table
 
 # the definition of p2: three words, half of the tokens
@@ -12,6 +12,14 @@ P2_WIDTH, P2_THRESHOLD = 3, 0.5
 RUN = ["case_id", "model", "run_id"]
 
 
+def p1_found(spark, d):
+    return personal.found(table(spark, d, "posts"), "post_id", ["title", "body"], "clean_text")
+
+
+def p1_masked(spark, d):
+    return personal.masked(table(spark, d, "posts"), "post_id", ["title", "body"], table(spark, d, "placeholders"), "clean_text").select("post_id", "field", "masked")
+
+
 def p2_found(spark, d):
     return neardup.pairs(table(spark, d, "posts"), "post_id", "clean_text", P2_WIDTH, P2_THRESHOLD)
 
@@ -82,7 +90,7 @@ def p9_composition(spark, d):
 
 QUERIES = {
     f.__name__: f
-    for f in (p2_found, p2_groups, p3_found, p3_restored, p4_found, p5_found, p5_kept, p6_found, p6_items, p6_annotators, p7_ids, p8_mix, p8_report, p9_found, p9_composition)
+    for f in (p1_found, p1_masked, p2_found, p2_groups, p3_found, p3_restored, p4_found, p5_found, p5_kept, p6_found, p6_items, p6_annotators, p7_ids, p8_mix, p8_report, p9_found, p9_composition)
 }
 #: None of these can be said in SQL; tests compare them with brute force, round trips and held-out rows.
 ORACLES: dict[str, str] = {}
