@@ -1,4 +1,431 @@
-"""The registered queries of the core operators, each with its SQL equivalent."""
+"""The registered queries of the core operators, each with its SQL equivalent where SQL can say it."""
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lodestream.functions import answers, patterns, text
+from lodestream.operators import annotate, classify, clean, evaluate, ingest, label, merge, tags, timeline
+from lodestream.plans.runtime import table
+from lodestream.sources import files
+from lodestream.sources.vocabulary import Vocabulary
+
+V = Vocabulary()
+YEARS = (2013, 2025)
+AMOUNT = patterns.ported(r"[0-9]+ ?mg")
+PROMPT_HASH = "5d" * 32
+MODEL = "gpt-5.4-mini"
+
+
+def first_copies(spark, d):
+    """Posts, of each id the copy that was crawled first."""
+    return merge.first_per_partition(table(spark, d, "posts"), "post_id", ["crawl_timestamp", "url"], 1)
+
+
+def normalize_text(spark, d):
+    return clean.normalize(table(spark, d, "posts").select("post_id", "crawl_timestamp", "title", "body")).drop("title", "body")
+
+
+def vocab_first_match(spark, d):
+    p = table(spark, d, "posts")
+    both = F.concat(text.filled(F.col("title")), F.lit(" "), text.filled(F.col("body")))
+    m = text.first_vocabulary(both, V.target_patterns())
+    return p.select(m.alias("m")).where("m is not null").groupBy(F.col("m.name").alias("medicine"), F.lower("m.term").alias("term")).agg(F.count("*").alias("n"))
+
+
+def vocab_unique_terms(spark, d):
+    p = table(spark, d, "posts").select("post_id", "crawl_timestamp", F.array_join(text.unique_matches(text.filled(F.col("clean_text")), AMOUNT), "|").alias("terms"))
+    return p.where("terms != ''")
+
+
+def sentence_units(spark, d):
+    p = table(spark, d, "posts").select("post_id", "crawl_timestamp", text.sentence_units(F.col("title"), F.col("body")).alias("u"))
+    return p.select("post_id", "crawl_timestamp", F.size("u").cast("bigint").alias("n_units"), F.array_join("u", "|").alias("units"))
+
+
+def sentence_windows(spark, d):
+    p = table(spark, d, "posts").select("post_id", "crawl_timestamp", text.sentence_windows(text.sentence_units(F.col("title"), F.col("body"))).alias("w"))
+    return p.select("post_id", "crawl_timestamp", F.size("w").cast("bigint").alias("n_windows"), F.array_join("w", "|").alias("windows"))
+
+
+def question_windows(spark, d):
+    p = table(spark, d, "posts").select("post_id", text.question_windows(text.sentence_units(F.col("title"), F.col("body")), patterns.ported(classify.QUESTION)).alias("w"))
+    return p.select("post_id", F.explode("w").alias("w")).select("post_id", "w.question", "w.context")
+
+
+def post_windows(spark, d):
+    p = table(spark, d, "posts").select("post_id", text.post_windows(text.sentence_units(F.col("title"), F.col("body")), patterns.ported(r"\?$")).alias("w"))
+    return p.select("post_id", F.explode("w").alias("w")).groupBy("post_id").agg(F.count("*").alias("n_questions"), F.sum(F.length("w.question")).alias("question_chars"), F.max(F.length("w.context")).cast("bigint").alias("context_chars"))
+
+
+def match_context(spark, d):
+    c = text.filled(F.col("clean_text"))
+    p = table(spark, d, "posts").select("post_id", "crawl_timestamp", text.match_start(c, r"(?:last|next) dose|another").alias("at"), text.match_context(c, r"(?:last|next) dose|another", 40).alias("context"))
+    return p.where("at is not null").select("post_id", "crawl_timestamp", F.col("at").cast("bigint").alias("at"), "context")
+
+
+def _flags(spark, d):
+    return ingest.flagged(table(spark, d, "raw_posts"), V, YEARS)
+
+
+def ingest_posts(spark, d):
+    return ingest.kept(_flags(spark, d)).select("dump", "line_no", "post_id", "subreddit", "title", "body", "url", "created_time", "matched_medicine", F.lower("matched_brand_or_generic").alias("matched_term"))
+
+
+def ingest_counters(spark, d):
+    return ingest.counters(_flags(spark, d))
+
+
+def dedup_keep_first(spark, d):
+    return first_copies(spark, d).select("post_id", "subreddit", "crawl_timestamp")
+
+
+def clean_counters(spark, d):
+    flags = clean.cleaned(clean.normalize(table(spark, d, "posts")), ["subreddit", "post_id"], ["crawl_timestamp", "url"])
+    return clean.counters(flags, "subreddit")
+
+
+def clean_fallbacks(spark, d):
+    return clean.with_fallbacks(table(spark, d, "posts")).select("post_id", "crawl_timestamp", "title_clean", "body_clean", "clean_text")
+
+
+def exclude_gate_cascade(spark, d):
+    c = text.filled(F.col("clean_text"))
+    anyone = F.lit(False)
+    for p in V.other_patterns().values():
+        anyone = anyone | c.rlike(p)
+    outcome = F.when(c.rlike(patterns.words(V.excluded)), "excluded").when(anyone, "other_medicine").when(text.first_vocabulary(c, V.target_patterns()).isNull(), "no_target").otherwise("candidate")
+    return table(spark, d, "posts").groupBy("subreddit", outcome.alias("outcome")).agg(F.count("*").alias("n"))
+
+
+def axis_tags(spark, d):
+    t = tags.tagged(table(spark, d, "posts").select("post_id", "crawl_timestamp", "clean_text"), F.col("clean_text"))
+    return t.select("post_id", "crawl_timestamp", "decidability.*")
+
+
+def axis_counts(spark, d):
+    return tags.axis_counts(tags.tagged(table(spark, d, "posts"), F.col("clean_text")), "subreddit")
+
+
+def merge_union_dedup(spark, d):
+    p = tags.tagged(table(spark, d, "posts").select("post_id", "subreddit", "crawl_timestamp", "clean_text"), F.col("clean_text"))
+    parts = [p.where("subreddit < 'M'"), p.where("subreddit >= 'M'")]
+    flags = merge.merged(merge.union(parts), F.col("decidability.decidable"), "post_id", ["subreddit", "crawl_timestamp"])
+    return merge.merge_counts(flags, "subreddit")
+
+
+def rollup_with_missing(spark, d):
+    counts = table(spark, d, "documents").where("source is not null").groupBy("source").agg(F.count("*").alias("n_documents"), F.sum("n_chars").alias("n_chars"))
+    return merge.rollup_with_missing(counts, table(spark, d, "mix_targets"), "source", ["n_documents", "n_chars"])
+
+
+def missing_partitions(spark, d):
+    return merge.missing_partitions(table(spark, d, "mix_targets"), table(spark, d, "documents"), "source")
+
+
+def long_stats(spark, d):
+    return merge.long_stats(ingest_counters(spark, d), "dump", "extract")
+
+
+def counter_maps(spark, d):
+    m = merge.counter_map(table(spark, d, "posts"), "subreddit", "matched_medicine")
+    return m.select("subreddit", F.array_join(F.transform(F.map_entries("counts"), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))), ",").alias("counts"))
+
+
+def classifier_cascade(spark, d):
+    return classify.classified(first_copies(spark, d)).select("post_id", "outcome", "evidence.rule_id", "evidence.target_medicine", "evidence.question_text", "decidability.decidable_axis")
+
+
+def classifier_counts(spark, d):
+    return classify.outcome_counts(classify.classified(first_copies(spark, d)), "subreddit")
+
+
+def _log(spark, d):
+    return table(spark, d, "annotation_log").select(F.col("post_key").alias("key"), F.col("llm_annotation").alias("record"), "seq")
+
+
+def latest_per_key(spark, d):
+    return files.latest(_log(spark, d), "key", ["seq"]).select("key", "seq", "record.status", "record.annotated_at")
+
+
+def _candidates(spark, d):
+    p = table(spark, d, "posts")
+    seq = F.xxhash64("post_id")
+    return p.select(annotate.record_key(F.col("post_id"), F.col("url"), seq).alias("key"), seq.alias("seq"), annotate.payload(F.col("post_id"), F.col("clean_text")).alias("payload"))
+
+
+
+
+def _reusable(spark, d):
+    last = files.latest(_log(spark, d), "key", ["seq"])
+    return last.where(annotate.reusable(F.col("record"), F.lit(MODEL), F.lit(PROMPT_HASH))).select("key")
+
+
+def resume_worklist(spark, d):
+    return _candidates(spark, d).select("key").distinct().join(_reusable(spark, d), "key", "left_anti")
+
+
+def reuse_join(spark, d):
+    last = files.latest(_log(spark, d), "key", ["seq"])
+    return annotate.joined(_candidates(spark, d).select("key").distinct(), last).select("key", "record.annotated_at", "record.status", F.length("record.text").cast("bigint").alias("text_chars"))
+
+
+def annotation_stats(spark, d):
+    last = files.latest(_log(spark, d), "key", ["seq"])
+    c = _candidates(spark, d).select("key").distinct().join(last.select("key", "record"), "key", "left")
+    done = F.col("record.status").eqNullSafe("completed")
+    return c.agg(F.count("*").alias("input"), F.count_if(done).alias("completed"), F.count_if(F.col("record.status").eqNullSafe("error")).alias("errors"), F.count_if(~done).alias("remaining"), F.count_if(annotate.reusable(F.col("record"), F.lit(MODEL), F.lit(PROMPT_HASH))).alias("reusable"))
+
+
+def prompt_hashes(spark, d):
+    return table(spark, d, "structured_cases").select("case_id", F.sha2(F.trim("question_text"), 256).alias("prompt_sha256"))
+
+
+def prompts(spark, d):
+    p = evaluate.prompt("Drug focus: {drug_focus}\nQuestion: {question_text}\nAnswer as JSON.", {"drug_focus": F.col("drug_focus"), "question_text": F.col("question_text")})
+    return table(spark, d, "structured_cases").select("case_id", p.alias("prompt"))
+
+
+def runs_cross(spark, d):
+    return evaluate.runs_of(table(spark, d, "structured_cases").select("case_id", "drug_focus"), 5)
+
+
+def _runs(spark, d):
+    """Each run once; runs of several models are ordered by run and model."""
+    r = table(spark, d, "confidence_runs_gpt_5_4_mini").dropDuplicates(["case_id", "model", "run_id"])
+    return r.withColumn("run_key", F.format_string("%05d|%s", "run_id", "model"))
+
+
+def majority_vote(spark, d):
+    s = evaluate.case_summary(_runs(spark, d), run="run_key")
+    means = ["avg_decision_confidence", "avg_decision_entropy", "avg_decision_margin"]
+    return s.select("case_id", "drug_focus", "question_text", "gold_answer", "error_category", "majority_decision", F.round("agreement", 9).alias("agreement"), "consistency_score", *[F.round(m, 6).alias(m) for m in means], "num_runs", "majority_correct")
+
+
+def noisy_json_extract(spark, d):
+    r = evaluate.parsed_runs(_runs(spark, d))
+    return r.select("case_id", "model", "run_id", "decision", "confidence", "status", "right")
+
+
+def prob_entropy_margin(spark, d):
+    r = _runs(spark, d).where("decision_confidence is not null and decision_entropy is not null and decision_margin is not null")
+    p = answers.probability_scores(F.col("decision_confidence"), F.col("decision_entropy"), F.col("decision_margin") - 0.5)
+    r = r.select("case_id", "model", "run_id", p.alias("p")).select("case_id", "model", "run_id", "p.*")
+    return r.select("case_id", "model", "run_id", "decision", *[F.round(c, 6).alias(c) for c in ("confidence", "margin", "entropy", "normalized_entropy")])
+
+
+def label_histogram(spark, d):
+    return label.histogram(_runs(spark, d), ["model", "parse_status"])
+
+
+def keyword_labels(spark, d):
+    return table(spark, d, "structured_cases").select("case_id", label.keyword_label(F.col("question_text")).alias("label"))
+
+
+def previous_labels(spark, d):
+    c = table(spark, d, "structured_cases").select(F.col("case_id").alias("sheet_row"), F.col("question_text").alias("question"), "drug_focus", "gold_answer")
+    earlier = c.where("gold_answer is not null").withColumn("label", F.col("drug_focus"))
+    return label.labelled(c.select("sheet_row", "question"), earlier).select("sheet_row", "label", "source")
+
+
+def completeness_check(spark, d):
+    return label.row_gaps(table(spark, d, "structured_cases"), "case_id", 51, 15_000)
+
+
+def unchanged_check(spark, d):
+    runs = _runs(spark, d).groupBy("case_id").agg(F.max("question_text").alias("question_text"))
+    return label.changed(table(spark, d, "structured_cases"), runs, "case_id", "question_text")
+
+
+def blank_fields(spark, d):
+    return label.blank(table(spark, d, "posts"), "body_clean").select("post_id", "crawl_timestamp")
+
+
+def error_cells(spark, d):
+    return label.error_cells(table(spark, d, "structured_cases"), "case_id", ["question_text", "drug_focus"])
+
+
+def topn_per_partition(spark, d):
+    return merge.first_per_partition(first_copies(spark, d), "subreddit", ["created_time", "post_id"], 10).select("subreddit", "post_id", "created_time")
+
+
+def sampled_cases(spark, d):
+    t = tags.tagged(first_copies(spark, d), F.col("clean_text")).where("decidability.decidable")
+    return merge.first_per_partition(t, "subreddit", ["created_time", "post_id"], 5).select(F.concat_ws("_", "subreddit", "post_id").alias("case_id"), F.col("clean_text").alias("cleaned_text"))
+
+
+def date_range_counts(spark, d):
+    e = table(spark, d, "events").where(F.col("ts").between(F.to_timestamp_ntz(F.lit("2024-01-05 00:00:00")), F.to_timestamp_ntz(F.lit("2024-01-20 23:59:59"))))
+    return e.groupBy("event_type").agg(F.count("*").alias("n"))
+
+
+def rolling_24h(spark, d):
+    return timeline.rolling(table(spark, d, "events"), ["user_id"], "ts", "value").select("event_id", F.round("rolling_total", 4).alias("rolling_total"))
+
+
+def since_last(spark, d):
+    return timeline.since_last(table(spark, d, "events"), ["user_id"], "ts", "event_id").select("event_id", F.round("hours_since_last", 6).alias("hours_since_last"))
+
+
+def as_of_value(spark, d):
+    e = table(spark, d, "events")
+    kinds = sorted(r[0] for r in e.select("event_type").distinct().collect())  # the kinds of events
+    left = e.where(F.col("event_type") == kinds[0]).select("event_id", "user_id", "ts")
+    right = e.where(F.col("event_type") == kinds[-1]).groupBy("user_id", "ts").agg(F.max("value").alias("value"))
+    return timeline.as_of(left, right, ["user_id"], "ts", "ts", "value").select("event_id", "last_value")
+
+
+def context_frame(spark, d):
+    return merge.trailing_frame(table(spark, d, "events"), ["user_id"], ["ts", "event_id"], "event_type").select("event_id", "context")
+
+
+def run_collapse(spark, d):
+    return merge.consecutive_runs(table(spark, d, "events"), ["user_id"], ["ts", "event_id"], "event_type").select("event_id", "user_id", "event_type")
+
+
+def invariant_decisions(spark, d):
+    """Per user and day, whether a limit on the rolling total holds under two readings of the values."""
+    r = timeline.rolling(table(spark, d, "events"), ["user_id"], "ts", "value").select("user_id", F.col("rolling_total").alias("t"))
+    both = r.select("user_id", F.explode(F.array(F.col("t") <= 400.0, F.col("t") * 1.5 <= 400.0)).alias("holds"))
+    return timeline.decided(both, "user_id")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        vocab_first_match, normalize_text, vocab_unique_terms, sentence_units, sentence_windows, question_windows, post_windows, match_context, ingest_posts, ingest_counters, dedup_keep_first, clean_counters, clean_fallbacks,
+        exclude_gate_cascade, axis_tags, axis_counts, merge_union_dedup, rollup_with_missing, missing_partitions, long_stats, counter_maps, classifier_cascade, classifier_counts, latest_per_key, resume_worklist, reuse_join,
+        annotation_stats, prompt_hashes, prompts, runs_cross, majority_vote, noisy_json_extract, prob_entropy_margin, label_histogram, keyword_labels, previous_labels, completeness_check, unchanged_check, blank_fields,
+        error_cells, topn_per_partition, sampled_cases, date_range_counts, rolling_24h, since_last, as_of_value, context_frame, run_collapse, invariant_decisions,
+    )
+}
+
+# ---- the same in SQL --------------------------------------------------------------------------------
+
+_WS = r"[\t\n\x0B\f\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+_NWS = _WS.replace("[", "[^", 1)
+_WORDCHAR = r"[\p{L}\p{M}\p{N}_]"
+
+
+def _norm(e: str) -> str:
+    e = f"coalesce({e}, '')"
+    e = rf"regexp_replace({e}, '(?i)\[([^\]]+)\]\([^)]*\)', '\1', 'g')"
+    e = f"regexp_replace({e}, '(?i)https?://{_NWS}+', ' ', 'g')"
+    return f"trim(regexp_replace({e}, '{_WS}+', ' ', 'g'))"
+
+
+def _q(s: str) -> str:
+    return s.replace("'", "''")
+
+
+def _any(terms) -> str:
+    """Whole words in RE2, whose own boundaries only know ASCII."""
+    alt = "|".join(patterns._quoted(t) for t in terms)
+    return _q(rf"(?i)(?:^|[^\p{{L}}\p{{M}}\p{{N}}_])({alt})(?:$|[^\p{{L}}\p{{M}}\p{{N}}_])")
+
+
+def _re2(source: str) -> str:
+    return _q("(?i)" + source.replace(r"\s", _WS))
+
+
+_FIRST = "(select * from (select *, row_number() over (partition by post_id order by crawl_timestamp, url) as _n from posts) where _n = 1)"
+_BOTH = "coalesce(title, '') || ' ' || coalesce(body, '')"
+_UNITS = rf"""list_filter(list_transform(list_concat([coalesce(title, '')], string_split(regexp_replace(regexp_replace(coalesce(body, ''), '([.!?]){_WS}+', '\1' || chr(1), 'g'), '\n+', chr(1), 'g'), chr(1))),
+    lambda x: regexp_replace(regexp_replace(x, '^{_WS}+', ''), '{_WS}+$', '')), lambda x: x <> '')"""
+
+
+def _medicine(e: str) -> str:
+    return "case " + " ".join(f"when regexp_matches({e}, '{_any(t)}') then '{n}'" for n, t in V.targets.items()) + " end"
+
+
+def _term(e: str) -> str:
+    return "case " + " ".join(f"when regexp_matches({e}, '{_any(t)}') then lower(regexp_extract({e}, '{_any(t)}', 1))" for n, t in V.targets.items()) + " end"
+
+
+_TAGS = {n: f"regexp_matches(coalesce(clean_text, ''), '{_re2(p)}')" for n, p in tags.PATTERNS.items()}
+_AXIS = "case when has_prior_dose and has_time and has_amount then 'rolling' when has_prior_dose and has_time then 'interval' when proposed_amount_stated then 'single_dose' end"
+_TAGGED = f"(select *, {_AXIS} as decidable_axis from (select *, {', '.join(f'{e} as {n}' for n, e in _TAGS.items())} from posts))"
+_LOW, _HIGH = ingest.year_bounds(*YEARS)
+_RAW = f"""(select *, case when not ok then 'bad_json' when created is null then 'bad_time' when created not between {_LOW} and {_HIGH} then 'skipped_date'
+      when medicine is null then 'skipped_medicine' else 'kept' end as outcome
+   from (select *, {_medicine("b")} as medicine, {_term("b")} as term from (select *, title || ' ' || body as b from (
+     select dump, line_no, j is not null as ok, j,
+       case when j is null then null when not json_exists(j, '$.created_utc') then 0
+            when json_type(j, '$.created_utc') = 'DOUBLE' then try_cast(trunc(cast(json_extract_string(j, '$.created_utc') as double)) as bigint)
+            when json_type(j, '$.created_utc') in ('UBIGINT', 'BIGINT') then try_cast(json_extract_string(j, '$.created_utc') as bigint)
+            when json_type(j, '$.created_utc') = 'BOOLEAN' then cast(json_extract_string(j, '$.created_utc') = 'true' as bigint)
+            when json_type(j, '$.created_utc') = 'VARCHAR' and regexp_full_match(trim(json_extract_string(j, '$.created_utc')), '[+-]?[0-9]+') then try_cast(trim(json_extract_string(j, '$.created_utc')) as bigint) end as created,
+       coalesce(json_extract_string(j, '$.title'), '') as title, coalesce(json_extract_string(j, '$.selftext'), '') as body,
+       case when json_exists(j, '$.subreddit') then json_extract_string(j, '$.subreddit') else dump end as subreddit,
+       case when json_exists(j, '$.id') then json_extract_string(j, '$.id') else '' end as post_id,
+       nullif(json_extract_string(j, '$.url'), '') as own_url, nullif(json_extract_string(j, '$.permalink'), '') as link
+     from (select dump, line_no, case when json_valid(raw_line) then case when json_type(raw_line) = 'OBJECT' then cast(raw_line as json) end end as j from raw_posts)))))"""
+_COUNTERS = f"select dump, count(*) as total, {', '.join(f'count(*) filter (outcome = {chr(39)}{x}{chr(39)}) as {x}' for x in ('skipped_date', 'skipped_medicine', 'kept', 'bad_json', 'bad_time'))} from {_RAW} group by dump"
+_LATEST = "(select post_key as key, seq, llm_annotation as record from (select *, row_number() over (partition by post_key order by seq desc) as _n from annotation_log where post_key is not null) where _n = 1)"
+_KEYS = "(select distinct coalesce(nullif(post_id, ''), nullif(url, '')) as key from posts)"
+_OK = f"(record.status = 'completed' and record.requested_model = '{MODEL}' and record.prompt_sha256 = '{PROMPT_HASH}')"
+_DISTINCT_RUNS = "(select * from (select *, row_number() over (partition by case_id, model, run_id order by raw_output) as _n, printf('%05d|%s', run_id, model) as run_key from confidence_runs_gpt_5_4_mini) where _n = 1)"
+_OBJECT = r"""(select *, case when json_valid(trim(raw_output)) and json_type(trim(raw_output)) = 'OBJECT' then trim(raw_output)
+    when json_valid(regexp_extract(raw_output, '(?s)[{].*[}]')) then regexp_extract(raw_output, '(?s)[{].*[}]') end as o from """ + _DISTINCT_RUNS + ")"
+_SOURCES = list(label.SOURCES.items())
+_LABEL = "case " + f"when regexp_matches(q, '(?i)\\b(?:{_SOURCES[0][1]})\\b') and regexp_matches(q, '(?i)\\b(?:{_SOURCES[1][1]})\\b') then '{_SOURCES[0][0]}_{_SOURCES[1][0]}' " + " ".join(f"when regexp_matches(q, '(?i)\\b(?:{p})\\b') then '{n}'" for n, p in _SOURCES) + f" else '{label.REVIEW}' end"
+
+ORACLES = {
+    "vocab_first_match": f"select medicine, term, count(*) as n from (select {_medicine('b')} as medicine, {_term('b')} as term from (select {_BOTH} as b from posts)) where medicine is not null group by 1, 2",
+    "normalize_text": f"select post_id, crawl_timestamp, title_clean, body_clean, {_norm(chr(34) + 'title_clean' + chr(34) + ' || ' + chr(39) + ' ' + chr(39) + ' || ' + chr(34) + 'body_clean' + chr(34))} as clean_text from (select post_id, crawl_timestamp, {_norm('title')} as title_clean, {_norm('body')} as body_clean from posts)",
+    "vocab_unique_terms": "select * from (select post_id, crawl_timestamp, array_to_string(list_filter(l, lambda x, i: list_position(l, x) = i), '|') as terms from (select post_id, crawl_timestamp, list_transform(regexp_extract_all(coalesce(clean_text, ''), '(?i)[0-9]+ ?mg'), lambda x: lower(x)) as l from posts)) where terms <> ''",
+    "sentence_units": f"select post_id, crawl_timestamp, len(u) as n_units, coalesce(array_to_string(u, '|'), '') as units from (select post_id, crawl_timestamp, {_UNITS} as u from posts)",
+    "sentence_windows": f"select post_id, crawl_timestamp, len(w) as n_windows, coalesce(array_to_string(w, '|'), '') as windows from (select post_id, crawl_timestamp, list_filter(l, lambda x, i: list_position(l, x) = i) as w from (select post_id, crawl_timestamp, list_transform(u, lambda x, i: case when i = len(u) then x else x || case when regexp_matches(x, '[.!?]\\s*$') then ' ' else '. ' end || u[i + 1] end) as l from (select post_id, crawl_timestamp, {_UNITS} as u from posts)))",
+    "post_windows": f"select post_id, count(*) as n_questions, cast(sum(length(q)) as bigint) as question_chars, max(length(c)) as context_chars from (select post_id, array_to_string(u, ' ') as c, unnest(list_filter(u, lambda x: regexp_matches(x, '\\?$'))) as q from (select post_id, {_UNITS} as u from posts)) group by post_id",
+    "match_context": "select post_id, crawl_timestamp, p as \"at\", trim(substring(c, greatest(p - 40, 0) + 1, p + length(m) + 40 - greatest(p - 40, 0))) as context from (select *, length(regexp_extract(c, '(?is)^(.*?)(?:(?:last|next) dose|another)', 1)) as p, regexp_extract(c, '(?i)(?:last|next) dose|another') as m from (select post_id, crawl_timestamp, coalesce(clean_text, '') as c from posts) where regexp_matches(c, '(?i)(?:last|next) dose|another'))",
+    "ingest_posts": f"select dump, line_no, post_id, subreddit, title, body, coalesce(own_url, '{ingest.FORUM}' || link, '{ingest.FORUM}/r/' || coalesce(subreddit, 'null') || '/comments/' || coalesce(post_id, 'null')) as url, strftime(make_timestamp(created * 1000000), '%Y-%m-%dT%H:%M:%S+00:00') as created_time, medicine as matched_medicine, term as matched_term from {_RAW} where outcome = 'kept'",
+    "ingest_counters": _COUNTERS,
+    "dedup_keep_first": f"select post_id, subreddit, crawl_timestamp from {_FIRST}",
+    "clean_counters": f"select subreddit, count(*) as input, count(*) filter (n > 1) as duplicates, count(*) filter (n = 1 and c = '') as dropped_empty, count(*) filter (n = 1 and c <> '') as kept from (select subreddit, case when post_id = '' then 1 else row_number() over (partition by subreddit, post_id order by crawl_timestamp, url) end as n, {_norm('title')} || {_norm('body')} as c from posts) group by subreddit",
+    "clean_fallbacks": "select post_id, crawl_timestamp, coalesce(title_clean, title, '') as title_clean, coalesce(body_clean, body, '') as body_clean, case when coalesce(clean_text, '') = '' then coalesce(title_clean, title, '') || ' ' || coalesce(body_clean, body, '') else clean_text end as clean_text from posts",
+    "exclude_gate_cascade": f"select subreddit, outcome, count(*) as n from (select subreddit, case when regexp_matches(c, '{_any(V.excluded)}') then 'excluded' when regexp_matches(c, '{_any([x for t in V.others.values() for x in t])}') then 'other_medicine' when regexp_matches(c, '{_any([x for t in V.targets.values() for x in t])}') then 'candidate' else 'no_target' end as outcome from (select subreddit, coalesce(clean_text, '') as c from posts)) group by 1, 2",
+    "axis_tags": f"select post_id, crawl_timestamp, {', '.join(_TAGS)}, decidable_axis, decidable_axis is not null as decidable from {_TAGGED}",
+    "axis_counts": f"select subreddit, decidable_axis, count(*) as n from {_TAGGED} group by 1, 2",
+    "merge_union_dedup": f"select subreddit, count(*) filter (n = 1) as kept, count(*) filter (n > 1) as duplicates, count(*) filter (n is null) as skipped from (select subreddit, case when decidable_axis is not null then row_number() over (partition by post_id, decidable_axis is not null order by subreddit, crawl_timestamp) end as n from {_TAGGED}) group by 1",
+    "rollup_with_missing": "with c as (select source, count(*) as n_documents, cast(sum(n_chars) as bigint) as n_chars from documents where source is not null group by 1), e as (select s.source, coalesce(n_documents, 0) as n_documents, coalesce(n_chars, 0) as n_chars, c.source is null as missing from (select distinct source from mix_targets) s left join c on s.source = c.source) select * from e union all select null, cast(sum(n_documents) as bigint), cast(sum(n_chars) as bigint), bool_or(missing) from e",
+    "missing_partitions": "select distinct source from mix_targets where source not in (select source from documents where source is not null)",
+    "long_stats": f"select dump, 'extract' as step, metric, value from (unpivot ({_COUNTERS}) on total, skipped_date, skipped_medicine, kept, bad_json, bad_time into name metric value value)",
+    "counter_maps": "select subreddit, string_agg(matched_medicine || '=' || n, ',' order by matched_medicine) as counts from (select subreddit, matched_medicine, count(*) as n from posts where matched_medicine is not null group by 1, 2) group by 1",
+    "latest_per_key": f"select key, seq, record.status as status, record.annotated_at as annotated_at from {_LATEST}",
+    "resume_worklist": f"select key from {_KEYS} where key not in (select key from {_LATEST} where {_OK})",
+    "reuse_join": f"select l.key, record.annotated_at as annotated_at, record.status as status, length(record.text) as text_chars from {_LATEST} l join {_KEYS} k on l.key = k.key",
+    "annotation_stats": f"select count(*) as input, count(*) filter (record.status = 'completed') as completed, count(*) filter (record.status = 'error') as errors, count(*) filter (record.status is distinct from 'completed') as remaining, count(*) filter {_OK} as reusable from {_KEYS} k left join {_LATEST} l on l.key = k.key",
+    "prompt_hashes": "select case_id, sha256(trim(question_text)) as prompt_sha256 from structured_cases",
+    "prompts": "select case_id, 'Drug focus: ' || coalesce(drug_focus, '') || chr(10) || 'Question: ' || coalesce(question_text, '') || chr(10) || 'Answer as JSON.' as prompt from structured_cases",
+    "runs_cross": "select case_id, drug_focus, cast(r as integer) as run_id from structured_cases, range(1, 6) t(r)",
+    "majority_vote": f"""with r as (select *, coalesce(parsed_decision, 'INVALID') as d from {_DISTINCT_RUNS}), v as (select case_id, d, count(*) as n, min(run_key) as f from r where d <> 'INVALID' group by 1, 2),
+      m as (select case_id, arg_min(d, row(-n, f)) as majority, max(n) as top, sum(n) as valid from v group by 1),
+      c as (select case_id, arg_min(row(drug_focus, question_text, gold_answer, error_category), run_key) as a, round(avg(decision_confidence), 6) as avg_decision_confidence, round(avg(decision_entropy), 6) as avg_decision_entropy, round(avg(decision_margin), 6) as avg_decision_margin, count(*) as num_runs from r group by 1)
+      select c.case_id, a[1] as drug_focus, a[2] as question_text, a[3] as gold_answer, a[4] as error_category, coalesce(majority, 'INVALID') as majority_decision, round(coalesce(top / valid, 0.0), 9) as agreement,
+        case when coalesce(top / valid, 0.0) = 1.0 then 2 when coalesce(top / valid, 0.0) >= 0.6 then 1 else 0 end as consistency_score, avg_decision_confidence, avg_decision_entropy, avg_decision_margin, num_runs,
+        case when coalesce(majority, 'INVALID') = a[3] then 1 else 0 end as majority_correct from c left join m on c.case_id = m.case_id""",
+    "noisy_json_extract": f"""select case_id, model, run_id, decision, case when n between 1 and 10 then cast(n as integer) end as confidence, case when decision <> 'INVALID' then 'valid' else 'invalid_json_schema' end as status, case when gold_answer is not null then decision = gold_answer end as "right"
+      from (select *, case upper(trim(json_extract_string(o, '$.decision'))) when 'A' then 'YES' when 'B' then 'NO' when 'C' then 'AMBIGUOUS' else 'INVALID' end as decision,
+        case json_type(o, '$.confidence') when 'DOUBLE' then cast(trunc(cast(json_extract_string(o, '$.confidence') as double)) as bigint) when 'VARCHAR' then case when regexp_full_match(trim(json_extract_string(o, '$.confidence')), '[+-]?[0-9]+') then cast(trim(json_extract_string(o, '$.confidence')) as bigint) end
+          when 'BOOLEAN' then cast(json_extract_string(o, '$.confidence') = 'true' as bigint) else try_cast(json_extract_string(o, '$.confidence') as bigint) end as n from {_OBJECT})""",
+    "prob_entropy_margin": f"""with p as (select case_id, model, run_id, greatest(0, decision_confidence) as y0, greatest(0, decision_entropy) as n0, greatest(0, decision_margin - 0.5) as a0 from {_DISTINCT_RUNS} where decision_confidence is not null and decision_entropy is not null and decision_margin is not null),
+      s as (select case_id, model, run_id, case when y0 + n0 + a0 > 0 then y0 / (y0 + n0 + a0) end as y, case when y0 + n0 + a0 > 0 then n0 / (y0 + n0 + a0) end as n, case when y0 + n0 + a0 > 0 then a0 / (y0 + n0 + a0) end as a from p),
+      e as (select *, list_reverse_sort([y, n, a]) as l, -(y * ln(y + 1e-12) + n * ln(n + 1e-12) + a * ln(a + 1e-12)) as h from s)
+      select case_id, model, run_id, case when y is null then null when y >= n and y >= a then 'YES' when n >= a then 'NO' else 'AMBIGUOUS' end as decision, round(l[1], 6) as confidence, round(l[1] - l[2], 6) as margin, round(h, 6) as entropy, round(h / ln(3), 6) as normalized_entropy from e""",
+    "label_histogram": f"select model, parse_status, count(*) as n from {_DISTINCT_RUNS} group by 1, 2",
+    "keyword_labels": f"select case_id, {_LABEL} as label from (select case_id, coalesce(question_text, '') as q from structured_cases)",
+    "previous_labels": f"select case_id as sheet_row, coalesce(l, {_LABEL}) as label, case when l is not null then 'previous' else 'keyword' end as source from (select case_id, coalesce(question_text, '') as q from structured_cases) c left join (select trim(coalesce(question_text, '')) as k, arg_max(drug_focus, case_id) as l from structured_cases where gold_answer is not null and drug_focus is not null group by 1) e on trim(q) = k",
+    "completeness_check": "select cast(r as bigint) as row, 'missing' as problem from range(51, 15001) t(r) where r not in (select case_id from structured_cases) union all select distinct cast(case_id as bigint), 'unexpected' from structured_cases where case_id not between 51 and 15000",
+    "unchanged_check": f"select coalesce(s.case_id, r.case_id) as case_id, s.question_text as before, r.question_text as after from structured_cases s full join (select case_id, max(question_text) as question_text from {_DISTINCT_RUNS} group by 1) r on s.case_id = r.case_id where s.question_text is distinct from r.question_text",
+    "blank_fields": "select post_id, crawl_timestamp from posts where trim(coalesce(body_clean, '')) = ''",
+    "error_cells": f"select case_id, cell, value from (unpivot (select case_id, question_text, drug_focus from structured_cases) on question_text, drug_focus into name cell value value) where regexp_matches(value, '{_q(label.ERROR_CELL)}') order by 1, 2 limit 300",
+    "topn_per_partition": f"select subreddit, post_id, created_time from (select *, row_number() over (partition by subreddit order by created_time, post_id) as _k from {_FIRST}) where _k <= 10",
+    "sampled_cases": f"select subreddit || '_' || post_id as case_id, clean_text as cleaned_text from (select *, row_number() over (partition by subreddit order by created_time, post_id) as _k from (select *, {_AXIS} as decidable_axis from (select *, {', '.join(f'{e} as {n}' for n, e in _TAGS.items())} from {_FIRST})) where decidable_axis is not null) where _k <= 5",
+    "date_range_counts": "select event_type, count(*) as n from events where ts between timestamp '2024-01-05 00:00:00' and timestamp '2024-01-20 23:59:59' group by 1",
+    "rolling_24h": "select event_id, round(sum(value) over (partition by user_id order by epoch_us(ts) range between 86399999999 preceding and current row), 4) as rolling_total from events",
+    "since_last": "select event_id, round((epoch_us(ts) - lag(epoch_us(ts)) over (partition by user_id order by ts, event_id)) / 3600000000.0, 6) as hours_since_last from events",
+    "as_of_value": "with l as (select event_id, user_id, ts from events where event_type = (select min(event_type) from events)), r as (select user_id, ts, max(value) as value from events where event_type = (select max(event_type) from events) group by 1, 2) select event_id, value as last_value from l asof left join r on l.user_id = r.user_id and l.ts >= r.ts",
+    "context_frame": "select event_id, string_agg(event_type, ' ') over (partition by user_id order by ts, event_id rows between 2 preceding and current row) as context from events",
+    "run_collapse": "select event_id, user_id, event_type from (select *, lag(event_type) over (partition by user_id order by ts, event_id) as b, row_number() over (partition by user_id order by ts, event_id) as k from events) where k = 1 or event_type is distinct from b",
+    "invariant_decisions": "select user_id, case when bool_and(t <= 400.0) and bool_and(t * 1.5 <= 400.0) then 'YES' when not bool_or(t <= 400.0) and not bool_or(t * 1.5 <= 400.0) then 'NO' else 'AMBIGUOUS' end as decision from (select user_id, sum(value) over (partition by user_id order by epoch_us(ts) range between 86399999999 preceding and current row) as t from events) group by 1",
+}
