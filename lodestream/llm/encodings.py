@@ -125,7 +125,7 @@ def _forms_table(vocabulary: DataFrame) -> DataFrame:
 def field_words(df: DataFrame, key: str, fields: list[str]) -> DataFrame:
     """(k, field, word): the distinct words with characters beyond ASCII of each field."""
     each = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), df[f].cast("string").alias("text")) for f in fields]))
-    texts = df.where(F.greatest(*[F.coalesce(F.octet_length(df[f]) - F.char_length(df[f]), F.lit(0)) for f in fields]) > 0).select(df[key].alias("k"), each.alias("e"))
+    texts = df.where(F.greatest(F.lit(0), *[F.coalesce(F.octet_length(df[f]) - F.char_length(df[f]), F.lit(0)) for f in fields]) > 0).select(df[key].alias("k"), each.alias("e"))
     texts = texts.select("k", "e.*").where(F.octet_length("text") > F.char_length("text"))
     return texts.select("k", "field", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))).alias("word"))
 

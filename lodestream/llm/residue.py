@@ -8,10 +8,11 @@ more different values is a slot, and a variable name, position, default or blank
 was never filled. Writers' own brackets stay in one frame with one value and induce nothing. Several
 defaults in one segment are slots that all kept theirs.
 
-Whole-page templates: a key that is the whole body of at least ``MIN_PAGES`` records, and so of at
-least ``MIN_SHARE`` of all records with the key, belongs to an error page, a notice or filler; it is
-then flagged wherever it occurs, also as a part of a body. Sentences that people write are seldom a
-whole body. Text of filler words only, or of one word over and over, is flagged by itself.
+Whole-page templates: a key that is in whole bodies of at least ``MIN_PAGES`` different texts (a
+template filled differently) or of ``MIN_COPIES`` records, and so in at least ``MIN_SHARE`` of all
+records with the key, belongs to an error page, a notice or filler; it is then flagged wherever it
+occurs, also as a part of a body. Sentences that people write are seldom a whole body, and a short
+text posted a few times over is one text. Text of filler words only, or of one word over and over, is flagged by itself.
 
 One pass cuts the bodies into keys and candidate values; counts of keys and frames are plain
 aggregations; the flagged keys (a small table, never forced into a broadcast) are joined back.
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 
 from lodestream.plans.runtime import cut, ship
 
-MIN_PAGES, MIN_SHARE, PAGE_SEGMENTS = 2, 0.15, 3
+MIN_PAGES, MIN_COPIES, MIN_SHARE, PAGE_SEGMENTS = 2, 5, 0.15, 3
 # What platforms put in place of a body.
 PLATFORM_MARKS = frozenset(("[removed]", "[deleted]", "[deleted by user]", "[removed by moderator]"))
 # Words of the usual filler texts and of keyboards tried out.
@@ -112,13 +113,14 @@ def _cut_up(df: DataFrame, key: str, text: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, whole, keys, found, filler = [], [], [], [], []
+            ids, texts, whole, keys, found, filler = [], [], [], [], [], []
             for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 t = (t or "").strip()
                 if not t or t.lower() in PLATFORM_MARKS:
                     continue
                 segments = [s for s in _SPLIT.split(t) if s]
                 ids.append(k)
+                texts.append(xxhash.xxh3_64_intdigest(t) - (1 << 63))
                 whole.append(len(segments) <= PAGE_SEGMENTS)
                 keys.append([x for s in segments for x in _keys(s)])
                 c = []
@@ -126,19 +128,23 @@ def _cut_up(df: DataFrame, key: str, text: str) -> DataFrame:
                     c = [{"frame": f, "value": v, "syntax": x, "segment": i} for i, s in enumerate(segments) if _HINT.search(s) for f, v, x in candidates(s)]
                 found.append(c)
                 filler.append(any(is_filler(s) for s in segments))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, b.column(0).type), pa.array(whole, pa.bool_()), pa.array(keys, pa.list_(pa.int64())), pa.array(found, pa.list_(value)), pa.array(filler, pa.bool_())], ["k", "whole", "keys", "found", "filler"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, b.column(0).type), pa.array(texts, pa.int64()), pa.array(whole, pa.bool_()), pa.array(keys, pa.list_(pa.int64())), pa.array(found, pa.list_(value)), pa.array(filler, pa.bool_())], ["k", "text", "whole", "keys", "found", "filler"])
 
     return df.select(df[key].alias("k"), df[text].cast("string").alias("t")).mapInArrow(
-        run, f"k {kind}, whole boolean, keys array<bigint>, found array<struct<frame:string,value:string,syntax:string,segment:int>>, filler boolean"
+        run, f"k {kind}, text bigint, whole boolean, keys array<bigint>, found array<struct<frame:string,value:string,syntax:string,segment:int>>, filler boolean"
     )
 
 
 def residue(df: DataFrame, key: str, text: str) -> DataFrame:
     """(key, page, slots, filler): the records with residue, and which kinds were found."""
-    cuts = cut(_cut_up(df, key, text).dropDuplicates(["k", "keys"]), "segments")
-    pages = cuts.select("whole", F.explode(F.array_distinct("keys")).alias("key")).groupBy("key").agg(F.count("*").alias("n"), F.count_if("whole").alias("whole"))
-    pages = cut(pages.where((F.col("whole") >= MIN_PAGES) & (F.col("whole") >= MIN_SHARE * F.col("n"))).select("key"), "pages")
-    on_page = cuts.select("k", F.explode(F.array_distinct("keys")).alias("key")).join(pages, "key", "left_semi").select("k", F.lit("page").alias("kind"))
+    cuts = cut(_cut_up(df, key, text).dropDuplicates(["k", "text"]), "segments")
+    short = cuts.where("whole").select("text", F.explode(F.array_distinct("keys")).alias("key")).groupBy("key", "text").agg(F.count("*").alias("n"))
+    likely = short.groupBy("key").agg(F.count("*").alias("texts"), F.sum("n").alias("pages")).where((F.col("texts") >= MIN_PAGES) | (F.col("pages") >= MIN_COPIES))
+    likely = cut(likely, "likely")
+    each = cuts.select("k", F.explode(F.array_distinct("keys")).alias("key"))
+    share = each.join(likely, "key").groupBy("key", "pages").agg(F.count("*").alias("n")).where(F.col("pages") >= MIN_SHARE * F.col("n"))
+    pages = cut(share.select("key"), "pages")
+    on_page = each.join(pages, "key", "left_semi").select("k", F.lit("page").alias("kind"))
 
     values = cuts.where(F.size("found") > 0).select("k", F.explode("found").alias("v")).select("k", "v.*")
     slots = values.groupBy("frame").agg(F.count_distinct("value").alias("n_values"), F.count_distinct("k").alias("n_k")).where("n_values >= 2 and n_k >= 2").select("frame")
