@@ -36,7 +36,7 @@ def parsed_runs(runs: DataFrame, raw: str = "raw_output", gold: str = "gold_answ
 
 def case_summary(runs: DataFrame, case: str = "case_id", run: str = "run_id", decision: str = "parsed_decision", firsts: tuple[str, ...] = ("drug_focus", "question_text", "gold_answer", "error_category"), means: dict[str, str] | None = None) -> DataFrame:
     """One row for each case: majority, agreement, consistency, correctness, first attributes, means."""
-    means = means or {"decision_confidence": "avg_decision_confidence", "decision_entropy": "avg_decision_entropy", "decision_margin": "avg_decision_margin"}
+    means = {"decision_confidence": "avg_decision_confidence", "decision_entropy": "avg_decision_entropy", "decision_margin": "avg_decision_margin"} if means is None else means
     d = F.coalesce(decision, F.lit(answers.INVALID))
     # votes for each decision first, so that a case with a third of all runs costs no task more
     votes = runs.groupBy(case, d.alias("_d")).agg(
