@@ -55,8 +55,10 @@ SINGLE_UP_TO, PAIR_UP_TO = 8, 64
 #: Bands of sizes are powers of 2 and of single tokens only below this, and grow by 4 from it.
 LEAST_BAND = 32
 #: A task gets about this many texts of one group of a band, and works on slices of its combinations.
-TEXTS_PER_PART, TEXTS_PER_SLICE = 1_000_000, 60_000
+TEXTS_PER_PART, TEXTS_PER_SLICE = 500_000, 40_000
 PAIRS_AT_A_TIME = 1_000_000
+#: Texts that are dealt, and rows whose combinations are made, at a time.
+TEXTS_AT_A_TIME, ROWS_AT_A_TIME = 2_000, 100_000
 _WORD = re.compile(r"[^\W_]+")
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
@@ -255,32 +257,34 @@ def _combinations(flat, start, length, k: int, slices: int, nth: int, part: int,
     for L in np.unique(length):
         if L < k:
             continue
-        r = np.flatnonzero(length == L)
-        T = flat[start[r][:, None] + np.arange(L)]
-        M = _mix(T[:, : L - k + 1])
-        mine = ((M >> np.uint64(7)) & np.uint64(n_parts - 1)) == part
-        mine &= (M >> np.uint64(33)) % np.uint64(slices) == nth
-        for lead in range(L - k + 1):
-            at = np.flatnonzero(mine[:, lead])
-            if not len(at):
-                continue
-            cols = T[at].astype(np.uint64)
-            h0 = (cols[:, lead] + np.uint64(1)) * _M1
-            h0 ^= h0 >> np.uint64(29)
-            for rest in itertools.combinations(range(lead + 1, L), k - 1):
-                h = h0
-                for j in rest:
-                    h = (h + cols[:, j] + np.uint64(1)) * _M1
-                    h = h ^ (h >> np.uint64(29))
-                sigs.append(h)
-                rows.append(r[at].astype(np.int32))
+        every = np.flatnonzero(length == L)
+        for lo in range(0, len(every), ROWS_AT_A_TIME):
+            r = every[lo : lo + ROWS_AT_A_TIME]
+            T = flat[start[r][:, None] + np.arange(L)]
+            M = _mix(T[:, : L - k + 1])
+            mine = ((M >> np.uint64(7)) & np.uint64(n_parts - 1)) == part
+            mine &= (M >> np.uint64(33)) % np.uint64(slices) == nth
+            for lead in range(L - k + 1):
+                at = np.flatnonzero(mine[:, lead])
+                if not len(at):
+                    continue
+                cols = T[at].astype(np.uint64)
+                h0 = (cols[:, lead] + np.uint64(1)) * _M1
+                h0 ^= h0 >> np.uint64(29)
+                for rest in itertools.combinations(range(lead + 1, L), k - 1):
+                    h = h0
+                    for j in rest:
+                        h = (h + cols[:, j] + np.uint64(1)) * _M1
+                        h = h ^ (h >> np.uint64(29))
+                    sigs.append(h)
+                    rows.append(r[at].astype(np.int32))
     return np.concatenate(sigs), np.concatenate(rows)
 
 
 def _matches(ids, sizes, bitmaps, flat, length, k: int, scheme: Scheme, band: int, part: int, n_parts: int):
     """Pairs of rows that share a combination of k tokens and pass the bounds on size and bitmaps.
     Of each pair the smaller text is in the band: pairs of larger ones are made in their own."""
-    start = np.cumsum(length) - length
+    start = np.cumsum(length, dtype=np.int64) - length
     large = (sizes >= scheme.bounds(band)[1]).astype(np.uint64)
     if large.all():
         return
@@ -335,22 +339,30 @@ def class_pairs(classes: DataFrame, threshold: float) -> DataFrame:
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lv = shared.value
-        for b in batches:
-            ids = np.array(b.column(0).to_pylist(), np.int64)
-            sets = [np.frombuffer(t, np.uint32) for t in b.column(1).to_pylist()]
-            size = np.array([len(x) for x in sets], np.int32)
-            rows = [(band, group, part, ids[x].tobytes(), size[x].tobytes(), maps.tobytes(), ln.astype(np.int32).tobytes(), tokens.tobytes()) for band, group, part, x, ln, tokens, maps in _deal(sets, lv, scheme, n_parts, taken)]
-            cols = list(zip(*rows)) if rows else [[]] * 8
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, [pa.int32()] * 3 + [pa.binary()] * 5)], ["band", "grp", "part", "ids", "sizes", "maps", "lens", "tokens"])
-
-    def match(t):
-        band, group, part = (t.column(i)[0].as_py() for i in range(3))
-        whole = lambda i, kind: np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in t.column(i)])
-        ids, sizes, length, flat = whole(3, np.int64), whole(4, np.int32).astype(np.int64), whole(6, np.int32).astype(np.int64), whole(7, np.uint32)
-        maps = whole(5, np.uint64).reshape(len(ids), -1)
-        found = [np.zeros((2, 0), np.int64), *_matches(ids, sizes, maps, flat, length, min(group + 1, 3), scheme, band, part, n_parts)]
-        a, b = np.unique(np.concatenate(found, axis=1), axis=1)
-        return pa.Table.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+        for whole in batches:
+            for at in range(0, len(whole), TEXTS_AT_A_TIME):
+                b = whole.slice(at, TEXTS_AT_A_TIME)
+                ids = np.array(b.column(0).to_pylist(), np.int64)
+                sets = [np.frombuffer(t, np.uint32) for t in b.column(1).to_pylist()]
+                size = np.array([len(x) for x in sets], np.int32)
+                rows = [(band, group, part, ids[x].tobytes(), size[x].tobytes(), maps.tobytes(), ln.astype(np.int32).tobytes(), tokens.tobytes()) for band, group, part, x, ln, tokens, maps in _deal(sets, lv, scheme, n_parts, taken)]
+                cols = list(zip(*rows)) if rows else [[]] * 8
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, [pa.int32()] * 3 + [pa.binary()] * 5)], ["band", "grp", "part", "ids", "sizes", "maps", "lens", "tokens"])
+
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = {3: np.int64, 4: np.int32, 5: np.uint64, 6: np.int32, 7: np.uint32}
+        cols: dict[int, list] = {i: [] for i in kinds}
+        band = group = part = words = 0
+        for b in batches:  # copied batch by batch, so that no batch is held
+            if len(b):
+                band, group, part = (b.column(i)[0].as_py() for i in range(3))
+                for i, kind in kinds.items():
+                    cols[i].append(np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in b.column(i)]))
+        words = _words(int(scheme.starts[band]))
+        whole = {i: np.concatenate(cols.pop(i)) for i in kinds}
+        maps = whole.pop(5).reshape(-1, words)
+        for a, b in _matches(whole[3], whole[4], maps, whole[7], whole[6], min(group + 1, 3), scheme, band, part, n_parts):
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
     dealt = classes.select("c", "tokens").mapInArrow(deal, "band int, grp int, part int, ids binary, sizes binary, maps binary, lens binary, tokens binary")
     found = dealt.groupBy("band", "grp", "part").applyInArrow(match, "a bigint, b bigint")
