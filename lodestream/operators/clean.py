@@ -24,13 +24,16 @@ def with_fallbacks(df: DataFrame) -> DataFrame:
     return df.withColumns({"title_clean": t, "body_clean": b, "clean_text": F.when(filled(F.col("clean_text")) == "", F.concat(t, F.lit(" "), b)).otherwise(F.col("clean_text"))})
 
 
-def copies(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
-    """``df`` with ``is_copy``: not the first row of its keys. Only rows with keys are shuffled."""
-    last = F.col(keys[-1])
-    keyed = F.nullif(last.cast("string"), F.lit("")).isNotNull()
-    w = Window.partitionBy(*keys).orderBy(*order)
-    with_key = df.where(keyed).withColumn("is_copy", F.row_number().over(w) > 1)
-    return with_key.unionByName(df.where(~keyed | last.isNull()).withColumn("is_copy", F.lit(False)))
+def copies(df: DataFrame, keys: list[str], order: list[Column | str], among: Column | None = None) -> DataFrame:
+    """``df`` with ``is_copy``: not the first row of its keys, of the rows ``among`` which keys are
+    compared. Other rows, and those whose last key is null or empty, are no copies; they are spread
+    over the window's partitions, so a key that a third of all rows lack makes no hot one."""
+    keyed = F.nullif(F.col(keys[-1]).cast("string"), F.lit("")).isNotNull()
+    if among is not None:
+        keyed = keyed & F.coalesce(among, F.lit(False))
+    apart = df.withColumn("_keyed", keyed).withColumn("_apart", F.when(F.col("_keyed"), F.lit(-1)).otherwise(F.monotonically_increasing_id()))
+    w = Window.partitionBy(*keys, "_apart").orderBy(*order)
+    return apart.withColumn("is_copy", F.col("_keyed") & (F.row_number().over(w) > 1)).drop("_keyed", "_apart")
 
 
 def cleaned(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:

@@ -18,9 +18,9 @@ def union(parts: list[DataFrame]) -> DataFrame:
 def merged(df: DataFrame, wanted: Column, key: str, order: list[Column | str]) -> DataFrame:
     """``df`` with ``outcome``: ``skipped`` (not wanted; it does not count as a first copy),
     ``duplicate`` or ``kept``, keys compared over all partitions."""
-    some = copies(df.where(wanted), [key], order)
-    some = some.withColumn("outcome", F.when(F.col("is_copy"), "duplicate").otherwise("kept")).drop("is_copy")
-    return some.unionByName(df.where(~wanted | wanted.isNull()).withColumn("outcome", F.lit("skipped")))
+    ok = F.coalesce(wanted, F.lit(False))
+    flagged = copies(df.withColumn("_ok", ok), [key], order, among=F.col("_ok"))
+    return flagged.withColumn("outcome", F.when(~F.col("_ok"), "skipped").when(F.col("is_copy"), "duplicate").otherwise("kept")).drop("_ok", "is_copy")
 
 
 def merge_counts(flags: DataFrame, by: str) -> DataFrame:
