@@ -1,25 +1,26 @@
 """Template residue and error-page text (problem 5).
 
-Records made from one template are aligned: a segment (a line or sentence) is keyed by its first
-words (two, and four) with numbers, ids and paths masked, and a value that might be residue (anything in the
+Records made from one template are aligned: a value that might be residue (anything in the
 brackets of a template language, or a default such as ``undefined``) is keyed by its frame, the two
 words before it and the one after. Aligned frames induce slots: a frame that is filled with two or
 more different values is a slot, and a variable name, position, default or blank in it is one that
 was never filled. Writers' own brackets stay in one frame with one value and induce nothing. Several
 defaults in one segment are slots that all kept theirs.
 
-Whole-page templates: a key that is in whole bodies of at least ``MIN_PAGES`` different texts (a
-template filled differently) or of ``MIN_COPIES`` records, and so in at least ``MIN_SHARE`` of all
-records with the key, belongs to an error page, a notice or filler; it is then flagged wherever it
-occurs, also as a part of a body. Sentences that people write are seldom a whole body, and a short
-text posted a few times over is one text. Text of filler words only, or of one word over and over, is flagged by itself.
+Page templates: a segment (a line or sentence) of any body, however long, is keyed by its words up to its
+first sign of residue, with numbers, ids and paths masked. Signs are slots that hold ids or paths of a machine,
+control tags of a template and the wording of errors, notices and stand-ins (a fixed list). A writer who
+speaks of themselves before it tells of an error, and gives no key. A key that is in at least
+``MIN_PAGES`` different texts or in ``MIN_COPIES`` records is of a template, and flags every body with it, as its
+whole or as a part. Text of filler words only, or of one word over and over, is flagged by itself.
 
 One pass cuts the bodies into keys and candidate values; counts of keys and frames are plain
 aggregations; the flagged keys (a small table, never forced into a broadcast) are joined back.
 
 Defined results: null, empty and blank bodies and the platform's own marks are never flagged; of a
 record written twice one row comes out; with fewer than ``MIN_PAGES`` records of a kind nothing can be
-aligned, so only fillers and segments with several defaults are flagged.
+aligned, so only fillers and segments with several defaults are flagged. A page without ids, paths and
+listed wording is not found.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 
 from lodestream.plans.runtime import cut, ship
 
-MIN_PAGES, MIN_COPIES, MIN_SHARE, PAGE_SEGMENTS = 2, 5, 0.15, 3
+MIN_PAGES, MIN_COPIES, MIN_WORDS = 2, 5, 4
 # What platforms put in place of a body.
 PLATFORM_MARKS = frozenset(("[removed]", "[deleted]", "[deleted by user]", "[removed by moderator]"))
 # Words of the usual filler texts and of keyboards tried out.
@@ -47,6 +48,7 @@ _VALUE = re.compile(
     r"""\{\{\s*(?P<a>[^{}\n]{1,40}?)\s*\}\}|\$\{\s*(?P<b>[^{}\n]{1,40}?)\s*\}|\#\{\s*(?P<c>[^{}\n]{1,40}?)\s*\}|<%=?\s*(?P<d>[^%<>\n]{1,40}?)\s*%>|@@(?P<e>[\w.\- ]{1,40}?)@@
     |%\((?P<f>[\w.]{1,40})\)[sdif]|\[\[\s*(?P<g>[^\[\]\n]{1,40}?)\s*\]\]|__(?P<h>[A-Za-z][\w.]{0,40}?)__|\$(?P<i>[A-Z][A-Z_.]{2,40})\$|%(?P<j>[A-Z][A-Z_.]{2,40})%
     |\[object\ (?P<o>Object)\]|<(?:INSERT|ENTER|YOUR|ADD)[ _](?P<k>[^<>\n]{1,40})>|<(?P<l>[A-Z][A-Z_ ]{2,40})>|\[(?P<m>[^\[\]()\n]{2,40})\](?!\()|\((?:insert|enter|your|add)\ (?P<n>[^()\n]{1,40})\)
+    |\{%-?\s*(?:(?:if|for|unless|elif|with|include)\ )?(?P<t>[\w.\- ]{1,40}?)\s*-?%\}
     |\{(?P<p>[^{}\n"':]{1,40})\}|(?P<q>%[sd])(?![\w%])|\b(?P<r>undefined|NaN|null|None|nil|TBD|TBA|FIXME|XXX+)\b|(?P<s>_{3,})""",
     re.X,
 )
@@ -56,12 +58,31 @@ _NAME = re.compile(r"[a-z][\w.\- ]*[a-z]", re.I)
 _MASKED = re.compile(r"(?:(?<=\W)|^)/\S+|[0-9a-f]*\d[0-9a-f]*")
 _NUMBERS = frozenset("one two three four five six seven eight nine ten".split())
 _COMMON_BRACKET = frozenset("mp")  # syntaxes that people use in prose too
+# Wording of errors, notices and stand-ins; ids and paths of machines; words of writers who speak of themselves.
+_WORDING = re.compile(
+    r"""\b(?:(?:java|type)?scripts?|no-?script|skripte?|js|browsers?|navegador|navigateur|cookies|x?html|https?(?=[ /]\d)|database|server|serveur|servidor|backend|upstream|gateway|traceback|(?:null ?pointer|un(?:caught|handled)\ )?exception|key ?error
+    |access (?:is )?denied|forbidden|permission to|(?:page|file|url|thread|post|\d{3}):? (?:was )?not found|no existe|introuvable|(?:nicht|non|no|não) (?:gefunden|trovat[ao]|encontrad[ao])|bad request|too many requests|session (?:has |is )?(?:expired|timed out)
+    |internal error|something went wrong|temporarily unavailable|service (?:un)?available|under maintenance|you are (?:human|not a robot)|blindtext|dummy text|filler text|placeholder|texto de relleno|texte de remplissage|testo segnaposto|content for draft
+    |(?:sample|test|example) (?:post|entry|body|text)|goes (?:here|above|below)|(?:type|write|enter|insert) your|todo|error \d{3}|\d{3} error|fehler|przeglądark\w+|skrypt\w*|браузер\w*|скрипт\w*|сервер\w*|страница не найдена|ошибка \d+)\b
+    |<(?:no)?script|\{%|\b(?!(?:zero|oh|one|two|three|four|five|six|seven|eight|nine)\b)([^\W\d_]+)(?:\W+\1\b){3}|脚本|腳本|浏览器|瀏覽器|服务器|伺服器|ブラウザ|スクリプト|サーバー""".replace("\n    ", ""),
+    re.I,
+)
+_ID = re.compile(r"(?<![\w:/.)\]])/[\w\-./]*\d|\b(?=[a-f]*\d)(?=\d*[a-f])[0-9a-f]{6,}\b", re.I)
+_OWN = re.compile(r"\b(?:i|i['’][a-z]+|my|me|mine|ich|mein\w*|mir|mich|je|j['’]ai|mon|ma|yo|mi|io|mio|mia|eu|meu|minha|я|мне|мой|меня)\b", re.I)
+_TOKEN = re.compile(r"(?:(?<=\W)|^)/\S+|[^\W_]+")
 
 
-def _keys(segment: str) -> list[int]:
-    """The masked first two and first four words of a segment, as numbers."""
-    ws = [_MASKED.sub("0", w) for w in segment.lower().split(None, 4)[:4]]
-    return [xxhash.xxh3_64_intdigest(" ".join(ws[:n])) - (1 << 63) for n in ({2, 4} if len(ws) > 2 else {2})]
+def page_key(segment: str) -> int | None:
+    """The masked words of a segment up to its first sign of residue, as a number; None without one."""
+    signs = [m.end() for m in (_WORDING.search(segment), _ID.search(segment)) if m]
+    if not signs or _OWN.search(segment, 0, min(signs)):
+        return None
+    ws = []
+    for m in _TOKEN.finditer(segment):
+        if len(ws) >= MIN_WORDS and m.start() >= min(signs):
+            break
+        ws.append(_MASKED.sub("0", m.group().lower()))
+    return xxhash.xxh3_64_intdigest(" ".join(ws)) - (1 << 63)
 
 
 def _word(w: str) -> str:
@@ -101,7 +122,7 @@ def is_filler(segment: str) -> bool:
             run, strong = run + 1, strong + (w not in _FUNCTION)
         else:
             run = strong = 0
-        if again >= 6 or (run >= 5 and strong >= 3):
+        if again >= 6 or (run >= 5 and strong >= 3) or (run >= 6 and strong >= 2):
             return True
     return False
 
@@ -113,7 +134,7 @@ def _cut_up(df: DataFrame, key: str, text: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, texts, whole, keys, found, filler = [], [], [], [], [], []
+            ids, texts, keys, found, filler = [], [], [], [], []
             for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 t = (t or "").strip()
                 if not t or t.lower() in PLATFORM_MARKS:
@@ -121,29 +142,25 @@ def _cut_up(df: DataFrame, key: str, text: str) -> DataFrame:
                 segments = [s for s in _SPLIT.split(t) if s]
                 ids.append(k)
                 texts.append(xxhash.xxh3_64_intdigest(t) - (1 << 63))
-                whole.append(len(segments) <= PAGE_SEGMENTS)
-                keys.append([x for s in segments for x in _keys(s)])
+                keys.append([x for x in map(page_key, segments) if x is not None])
                 c = []
                 if _HINT.search(t):
                     c = [{"frame": f, "value": v, "syntax": x, "segment": i} for i, s in enumerate(segments) if _HINT.search(s) for f, v, x in candidates(s)]
                 found.append(c)
                 filler.append(any(is_filler(s) for s in segments))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, b.column(0).type), pa.array(texts, pa.int64()), pa.array(whole, pa.bool_()), pa.array(keys, pa.list_(pa.int64())), pa.array(found, pa.list_(value)), pa.array(filler, pa.bool_())], ["k", "text", "whole", "keys", "found", "filler"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, b.column(0).type), pa.array(texts, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(found, pa.list_(value)), pa.array(filler, pa.bool_())], ["k", "text", "keys", "found", "filler"])
 
     return df.select(df[key].alias("k"), df[text].cast("string").alias("t")).mapInArrow(
-        run, f"k {kind}, text bigint, whole boolean, keys array<bigint>, found array<struct<frame:string,value:string,syntax:string,segment:int>>, filler boolean"
+        run, f"k {kind}, text bigint, keys array<bigint>, found array<struct<frame:string,value:string,syntax:string,segment:int>>, filler boolean"
     )
 
 
 def residue(df: DataFrame, key: str, text: str) -> DataFrame:
     """(key, page, slots, filler): the records with residue, and which kinds were found."""
     cuts = cut(_cut_up(df, key, text).dropDuplicates(["k", "text"]), "segments")
-    short = cuts.where("whole").select("text", F.explode(F.array_distinct("keys")).alias("key")).groupBy("key", "text").agg(F.count("*").alias("n"))
-    likely = short.groupBy("key").agg(F.count("*").alias("texts"), F.sum("n").alias("pages")).where((F.col("texts") >= MIN_PAGES) | (F.col("pages") >= MIN_COPIES))
-    likely = cut(likely, "likely")
-    each = cuts.select("k", F.explode(F.array_distinct("keys")).alias("key"))
-    share = each.join(likely, "key").groupBy("key", "pages").agg(F.count("*").alias("n")).where(F.col("pages") >= MIN_SHARE * F.col("n"))
-    pages = cut(share.select("key"), "pages")
+    each = cuts.select("k", "text", F.explode(F.array_distinct("keys")).alias("key"))
+    counts = each.groupBy("key").agg(F.count_distinct("text").alias("texts"), F.count("*").alias("n"))
+    pages = cut(counts.where((F.col("texts") >= MIN_PAGES) | (F.col("n") >= MIN_COPIES)).select("key"), "pages")
     on_page = each.join(pages, "key", "left_semi").select("k", F.lit("page").alias("kind"))
 
     values = cuts.where(F.size("found") > 0).select("k", F.explode("found").alias("v")).select("k", "v.*")

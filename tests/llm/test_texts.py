@@ -53,6 +53,16 @@ def test_residue_is_found_and_prose_is_not(spark):
     assert residue.residue(df.limit(0), "post_id", "body").count() == 0
 
 
+def test_long_pages_and_embedded_notices_are_found(spark):
+    denied = "Access denied. You lack permission to view /t/{0:05x}a. Reference #{0:06x}b"
+    long = "Our site is down.\nWe are sorry.\nWork goes on.\nThe upstream server gave no answer.\nTicket {0:06x}c"
+    own = ["My knee hurts since {0}. It was worse at night. I slept badly. What now?", "We walked {0} miles. Then it rained. Nothing helped. Any ideas?"]
+    told = "The site told me to enable JavaScript, so I gave up. That was at {0} pm. I took two. Fine."
+    bodies = [f"{o.format(i)}\n{denied.format(i)}" for i, o in enumerate(own * 6)] + [long.format(i) for i in range(3)] + [o.format(i) for i, o in enumerate(own * 6)] + [told.format(i) for i in range(9)]
+    df = _posts(spark, [(str(i), None, b) for i, b in enumerate(bodies)])
+    assert {int(r["post_id"]) for r in residue.residue(df, "post_id", "body").collect()} == set(range(15))
+
+
 # ---- broken answers
 
 
