@@ -2,8 +2,8 @@
 
 A multi-label linear classifier over hashed n-grams of the answer and features of the pair is
 trained on defects made from recorded pairs themselves: answers cut off, questions copied with small
-changes, answers swapped in from questions of another language, refusals and empty answers put in
-their place, in each of the shapes that raw outputs come in. Harmless changes (a missing full stop,
+changes, answers swapped in from questions of another language, refusals (also after the question restated
+or after sentences of an answer) and empty answers put in their place, in each of the shapes that raw outputs come in. Harmless changes (a missing full stop,
 wrapping, the question restated before the answer, odd decisions) are made to pairs that count as
 sound. Thresholds are calibrated on held-out made pairs. Pairs that a first model calls defective are
 left out of the sound ones when the final model is fitted.
@@ -154,7 +154,7 @@ class Ends:
         return one, two, (self.final[t] + two) / (self.seen.get(t, 0) + 1), float(n > 0)
 
 
-def pair_features(question: str | None, raw: str | None, ends: Ends) -> tuple[list[int], list[float]]:
+def pair_features(question: str | None, raw: str | None, ends: Ends) -> tuple[np.ndarray, np.ndarray]:
     text, shape = answer_of(raw)
     text = text.strip()
     a, q = words(text), words(question or "")
@@ -192,20 +192,20 @@ def pair_features(question: str | None, raw: str | None, ends: Ends) -> tuple[li
     val = [float(dense[k]) for k in idx]
     grams: dict[int, float] = {}
     qs = set(q)
-    head = [w if w not in qs or w in _LANGUAGE_OF else "¤" for w in a[:24]]
-    for i, w in enumerate(head):
+    masked = [w if w not in qs or w in _LANGUAGE_OF else "¤" for w in a]
+    for i, w in enumerate(masked):
         grams[_hash("w " + w)] = 1.0
         if i:
-            grams[_hash(f"b {head[i - 1]} {w}")] = 1.0
+            grams[_hash(f"b {masked[i - 1]} {w}")] = 1.0
         if i > 1:
-            grams[_hash(f"t {head[i - 2]} {head[i - 1]} {w}")] = 1.0
+            grams[_hash(f"t {masked[i - 2]} {masked[i - 1]} {w}")] = 1.0
     for i, w in enumerate(a[:3]):
         grams[_hash(f"s{i} {w}")] = 1.0
     if a and not closed:
         grams[_hash("e " + a[-1])] = 1.0
         grams[_hash("e2 " + " ".join(a[-2:]))] = 1.0
     scale = 3.0 / max(3.0, len(grams) ** 0.5)
-    return idx + list(grams), val + [scale] * len(grams)
+    return np.array(idx + list(grams), np.int32), np.array(val + [scale] * len(grams), np.float32)
 
 
 def _as_raw(rng: random.Random, text: str | None) -> str:
@@ -279,7 +279,14 @@ def synthetic(pairs: list[tuple[str, str]], seed: int = 5):
             t = rng.choice(REFUSALS).replace("{x}", " ".join((q or "this").split()[:6]))
             t = t + rng.choice([".", ".", "", "!"])
             f = rng.choice(FOLLOW_UPS)
-            yield q, _as_raw(rng, f"{t} {f}{'.' if f else ''}".strip()), "refusal"
+            t = f"{t} {f}{'.' if f else ''}".strip()
+            k = rng.random()
+            if k < 0.25 and q:
+                t = rng.choice([f"You ask: '{q}' ", f"{q} ", f"The question was: {q} ", f'"{q}" - ']) + t
+            elif k < 0.4:
+                said = re.split(r"(?<=[.!?])\s+", text)
+                t = " ".join([*said[: max(1, min(2, len(said) - 1))], t])
+            yield q, _as_raw(rng, t), "refusal"
         if rng.random() < 0.2 and q and len(words(q)) > 5:
             yield q, _as_raw(rng, _copy(rng, q)), "copied_question"
         if rng.random() < 0.25 and q:
@@ -307,22 +314,24 @@ def train(pairs: list[tuple[str, str]], seed: int = 5):
     rng = np.random.default_rng(seed)
     features = [pair_features(q, r, ends) for q, r, _ in made]
     for last in (False, False, True):
-        idx, val = linear.pad(features, DIM)
+        idx, val, starts = linear.chain(features)
         Y = np.array([[d == x for x in DEFECTS] for _, _, d in made], np.float32)
         held = rng.random(len(made)) < 0.25
         # ways to decline are held out as wholes: real ones are worded in other ways than ours
         way = np.array([next((k for k, t in enumerate(REFUSALS) if t[:18] in r), -1) if d == "refusal" else -1 for _, r, d in made])
         held = np.where(way >= 0, way % 4 == 3, held)
         sure = held & np.array([bool(d) or _plainly_sound(r) for _, r, d in made])  # thresholds rest on these
-        W = linear.fit(idx[~held], val[~held], Y[~held], DIM)
-        z = linear.scores(W, idx, val)
+        fitted = np.repeat(~held, np.diff(np.append(starts, len(idx))))
+        own_starts = linear.chain([f for f, h in zip(features, held) if not h])[2]
+        W = linear.fit(idx[fitted], val[fitted], Y[~held], DIM, starts=own_starts)
+        z = linear.scores(W, idx, val, starts)
         cuts = np.array([linear.best_threshold(z[sure, k], Y[sure, k] > 0) for k in range(len(DEFECTS))])
         if not last:  # recorded pairs that look defective aren't examples of sound ones
             bad = (Y.sum(1) == 0) & (z > np.minimum(cuts, 0.0) - 0.5).any(1) & np.array([r in own for _, r, _ in made])
             made, features = ([x for x, b in zip(xs, bad) if not b] for xs in (made, features))
             if recorded:  # at first only plainly sound pairs were; now those that the model calls sound
                 more = [pair_features(q, r, ends) for q, r, _ in recorded]
-                sound = (linear.scores(W, *linear.pad(more, DIM)) < np.minimum(cuts, 0.0) - 1.5).all(1)
+                sound = (linear.scores(W, *linear.chain(more)) < np.minimum(cuts, 0.0) - 1.5).all(1)
                 made += [m for m, ok in zip(recorded, sound) if ok]
                 features += [f for f, ok in zip(more, sound) if ok]
                 recorded = []
@@ -347,7 +356,7 @@ def defects(df: DataFrame, keys: list[str], question: str, raw: str, sample_rows
             score = np.zeros(len(rs))
             if m is not None and rs:
                 W, cuts, ends = m
-                z = linear.scores(W, *linear.pad([pair_features(q, r, ends) for q, r in zip(qs, rs)], DIM)) - cuts
+                z = linear.scores(W, *linear.chain([pair_features(q, r, ends) for q, r in zip(qs, rs)])) - cuts
                 best = z.argmax(1)
                 score = z[np.arange(len(rs)), best].astype(float)
                 names = [DEFECTS[k] if s > 0 else None for k, s in zip(best, score)]

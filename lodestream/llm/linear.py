@@ -1,7 +1,8 @@
 """Sparse linear models in numpy, fitted on the driver from bounded samples and applied in workers.
 
 A row is a list of feature numbers with values, padded to one width with feature ``dim`` (whose
-weight stays 0), so that scoring and gradients are plain gathers and sums.
+weight stays 0), so that scoring and gradients are plain gathers and sums. Where rows differ much in
+length they are put one after the other instead, with the place where each starts.
 """
 
 from __future__ import annotations
@@ -19,26 +20,35 @@ def pad(rows: list[tuple[list[int], list[float]]], dim: int) -> tuple[np.ndarray
     return idx, val
 
 
-def scores(W: np.ndarray, idx: np.ndarray, val: np.ndarray) -> np.ndarray:
+def chain(rows: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(numbers, values, starts) of rows one after the other; no row may be empty."""
+    starts = np.cumsum([0, *(len(i) for i, _ in rows)])[:-1]
+    return np.concatenate([i for i, _ in rows]).astype(np.int32), np.concatenate([v for _, v in rows]).astype(np.float32), starts
+
+
+def scores(W: np.ndarray, idx: np.ndarray, val: np.ndarray, starts: np.ndarray | None = None) -> np.ndarray:
     """(rows, labels) of W (dim + 1, labels)."""
+    if starts is not None:
+        return np.stack([np.add.reduceat(W[:, k][idx] * val, starts) for k in range(W.shape[1])], 1)
     out = np.empty((len(idx), W.shape[1]), np.float32)
     for k in range(W.shape[1]):
         out[:, k] = (W[:, k][idx] * val).sum(1)
     return out
 
 
-def fit(idx: np.ndarray, val: np.ndarray, Y: np.ndarray, dim: int, *, epochs: int = 80, rate: float = 0.2, l2: float = 1e-4, weight: np.ndarray | None = None) -> np.ndarray:
+def fit(idx: np.ndarray, val: np.ndarray, Y: np.ndarray, dim: int, *, epochs: int = 80, rate: float = 0.2, l2: float = 1e-4, weight: np.ndarray | None = None, starts: np.ndarray | None = None) -> np.ndarray:
     """Logistic regressions, one for each column of Y (values in [0, 1]), by full-batch Adam."""
     n, L = Y.shape
     W = np.zeros((dim + 1, L), np.float32)
     m, s = np.zeros_like(W), np.zeros_like(W)
     w = np.ones((n, 1), np.float32) if weight is None else weight.reshape(n, -1).astype(np.float32)
+    sizes = None if starts is None else np.diff(np.append(starts, len(idx)))
     flat, total = idx.ravel(), np.maximum(w.sum(0), 1e-9)
     for t in range(1, epochs + 1):
-        g = (1 / (1 + np.exp(-np.clip(scores(W, idx, val), -30, 30))) - Y) * w / total
+        g = (1 / (1 + np.exp(-np.clip(scores(W, idx, val, starts), -30, 30))) - Y) * w / total
         G = np.empty_like(W)
         for k in range(L):
-            G[:, k] = np.bincount(flat, weights=(val * g[:, k : k + 1]).ravel(), minlength=dim + 1)
+            G[:, k] = np.bincount(flat, weights=(val * (g[:, k : k + 1] if sizes is None else np.repeat(g[:, k], sizes))).ravel(), minlength=dim + 1)
         G += l2 * W
         G[dim] = 0
         m = 0.9 * m + 0.1 * G

@@ -97,6 +97,17 @@ def test_defects_of_answers(spark):
     assert answers.defects(df.limit(0), ["case_id"], "question_text", "raw_output").count() == 0
 
 
+def test_refusals_late_in_an_answer(spark):
+    rows = _runs()
+    q = "I have been lifting boxes all week and my lower back hurts, I took 2 tablets at 8 am and 2 more at noon with lunch, would it be fine to take another one before bed?"
+    good = rows[1][4]
+    refusals = [f"You ask: '{q}' I'm sorry, but I can't help with that.", f"The question was: {q} I cannot give advice on medication. Please ask a pharmacist."]
+    rows += [(1000 + i, "m", 1, q, '{"reasoning":"%s","decision":null,"confidence":5}' % a) for i, a in enumerate(refusals)] + [(2000, "m", 1, q, good.replace("According", f"You ask: '{q}' According"))]
+    df = spark.createDataFrame(rows, "case_id int, model string, run_id int, question_text string, raw_output string")
+    got = {r["case_id"]: r["defect"] for r in answers.defects(df, ["case_id", "model", "run_id"], "question_text", "raw_output").collect()}
+    assert {k: got.get(k) for k in (1000, 1001, 2000)} == {1000: "refusal", 1001: "refusal", 2000: None}
+
+
 # ---- subjects
 
 
