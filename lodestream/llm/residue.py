@@ -11,7 +11,7 @@ Page templates: a segment (a line or sentence) of any body, however long, is key
 first sign of residue, with numbers, ids and paths masked. Signs are slots that hold ids or paths of a machine,
 control tags of a template and the wording of errors, notices and stand-ins (a fixed list). A writer who
 speaks of themselves before it tells of an error, and gives no key. A key that is in at least
-``MIN_PAGES`` different texts or in ``MIN_COPIES`` records is of a template, and flags every body with it, as its
+``MIN_PAGES`` different texts (copies of a text are one) is of a template, and flags every body with it, as its
 whole or as a part. Text of filler words only, or of one word over and over, is flagged by itself.
 
 One pass cuts the bodies into keys and candidate values; counts of keys and frames are plain
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from lodestream.plans.runtime import cut, ship
 
-MIN_PAGES, MIN_COPIES, MIN_WORDS = 2, 5, 4
+MIN_PAGES, MIN_WORDS = 2, 4
 # What platforms put in place of a body.
 PLATFORM_MARKS = frozenset(("[removed]", "[deleted]", "[deleted by user]", "[removed by moderator]"))
 # Words of the usual filler texts and of keyboards tried out.
@@ -159,8 +159,7 @@ def residue(df: DataFrame, key: str, text: str) -> DataFrame:
     """(key, page, slots, filler): the records with residue, and which kinds were found."""
     cuts = cut(_cut_up(df, key, text).dropDuplicates(["k", "text"]), "segments")
     each = cuts.select("k", "text", F.explode(F.array_distinct("keys")).alias("key"))
-    counts = each.groupBy("key").agg(F.count_distinct("text").alias("texts"), F.count("*").alias("n"))
-    pages = cut(counts.where((F.col("texts") >= MIN_PAGES) | (F.col("n") >= MIN_COPIES)).select("key"), "pages")
+    pages = cut(each.groupBy("key").agg(F.count_distinct("text").alias("texts")).where(F.col("texts") >= MIN_PAGES).select("key"), "pages")
     on_page = each.join(pages, "key", "left_semi").select("k", F.lit("page").alias("kind"))
 
     values = cuts.where(F.size("found") > 0).select("k", F.explode("found").alias("v")).select("k", "v.*")

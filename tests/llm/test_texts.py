@@ -63,6 +63,13 @@ def test_long_pages_and_embedded_notices_are_found(spark):
     assert {int(r["post_id"]) for r in residue.residue(df, "post_id", "body").collect()} == set(range(15))
 
 
+def test_copies_of_a_short_question_are_no_page(spark):
+    short = ["Is the browser calculator for doses right? It says 3 pills.", "Can we take another one at noon? It still hurts."]
+    bodies = short * 8 + ["Can we take another one at night? We had two at six. It was a long day. Nothing else helped."]
+    df = _posts(spark, [(str(i), None, b) for i, b in enumerate(bodies)])
+    assert residue.residue(df, "post_id", "body").count() == 0
+
+
 # ---- broken answers
 
 
