@@ -9,9 +9,9 @@ maximisation estimates the labelers' reliabilities and a probability of each kin
 votes. These train the final span classifier, a linear model over votes, hashed context words and the
 span's form, which decides on every span.
 
-The vocabulary of common words and of names comes from ``sample_rows`` records, the classifier from
-``sample_spans`` spans, both with the smallest hashes: bounded samples. Spans, votes and decisions
-cover all records and whole texts. A field that is only the cleaned form of the others takes over
+The vocabulary of common words and of names is counted over all records, in one pass that is aggregated
+before it is shuffled; the classifier comes from the ``sample_spans`` spans with the smallest hashes, a
+bounded sample. Spans, votes and decisions cover all records and whole texts. A field that is only the cleaned form of the others takes over
 their spans instead of being read again.
 
 Defined results: null, empty and blank fields have no spans; a record written twice gives one row for
@@ -35,7 +35,8 @@ from lodestream.llm import linear
 from lodestream.plans.runtime import cut, ship
 
 KINDS = ("email", "phone", "id_number", "address", "name")
-SAMPLE_ROWS, SAMPLE_SPANS, BITS = 6000, 20_000, 15
+SAMPLE_SPANS, BITS = 20_000, 15
+COMMON_IN, NAME_BITS = 1500, 1 << 26
 DIM = 1 << BITS
 NONE, EMAIL, PHONE, ID, ADDRESS, NAME = range(6)
 
@@ -225,8 +226,8 @@ def judge(text: str, start: int, end: int, kind: int, common: frozenset, known:
     return f"{kind}{''.join(v)}", sorted({_h(f"{kind} {x}") for x in f})
 
 
-def vocabulary(texts: list[str]) -> tuple[frozenset, frozenset]:
-    """(common words, words of names) of a sample: names are what stands where only names do."""
+def word_counts(texts: list[str]) -> tuple[Counter, Counter]:
+    """(texts with each word, words of names): names are what stands where only names do."""
     outside: Counter = Counter()
     inside: Counter = Counter()
     for t in texts:
@@ -247,9 +248,54 @@ def vocabulary(texts: list[str]) -> tuple[frozenset, frozenset]:
             at = b
         rest.append(t[at:])
         outside.update({w.lower() for w in _TOKEN.findall(" ".join(rest))})
-    least = max(3, len(texts) // 1500)
-    common = frozenset(w for w, n in outside.items() if n >= least and n > 2 * inside[w])
-    return common, frozenset(w for w, n in inside.items() if w not in common and n >= outside[w])
+    return outside, inside
+
+
+class Names:
+    """A set of words as ``NAME_BITS`` bits, whatever their number; with two million words another word is
+    taken for one of them with a probability of about 2e-4."""
+
+    def __init__(self, at: np.ndarray, bits: np.ndarray):
+        """``bits``: the 64 bits of each place in ``at``."""
+        every = np.zeros(NAME_BITS // 64, "<i8")
+        every[at] = bits
+        self.bits = every.tobytes()
+
+    @staticmethod
+    def places(word: str) -> list[int]:
+        h = xxhash.xxh3_128_intdigest(word)
+        return [(h >> (32 * i)) % NAME_BITS for i in range(4)]
+
+    def __contains__(self, word: str) -> bool:
+        return all(self.bits[x >> 3] >> (x & 7) & 1 for x in self.places(word))
+
+
+def vocabulary(df: DataFrame, fields: list[str]) -> tuple[frozenset, Names]:
+    """(common words, words of names), counted over all texts of all records in one pass. A common word is
+    in 1 of ``COMMON_IN`` texts, so there are at most ``COMMON_IN`` times the words of a mean text."""
+    ship(df.sparkSession)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = [t for c in b.columns for t in c.to_pylist() if t]
+            outside, inside = word_counts(texts)
+            ws = [*(outside.keys() | inside.keys()), ""]  # the empty word counts the texts
+            outside[""] = len(texts)
+            yield pa.RecordBatch.from_arrays([pa.array(ws, pa.string()), pa.array([outside[w] for w in ws], pa.int64()), pa.array([inside[w] for w in ws], pa.int64())], ["word", "outside", "inside"])
+
+    each = df.select(*[df[f].cast("string").alias(f"t{i}") for i, f in enumerate(fields)]).mapInArrow(count, "word string, outside bigint, inside bigint")
+    counts = cut(each.groupBy("word").agg(F.sum("outside").alias("outside"), F.sum("inside").alias("inside")), "vocabulary")
+    n = (counts.where("word = ''").agg(F.sum("outside")).first()[0]) or 0
+    is_common = (F.col("outside") >= max(3, n // COMMON_IN)) & (F.col("outside") > 2 * F.col("inside")) & (F.col("word") != "")
+    common = frozenset(r["word"] for r in counts.where(is_common).select("word").collect())
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([x for w in b.column(0).to_pylist() for x in Names.places(w)], pa.int64())], ["at"])
+
+    names = counts.where(~is_common & (F.col("inside") > 0) & (F.col("inside") >= F.col("outside"))).select("word").mapInArrow(place, "at bigint")
+    bits = names.groupBy(F.shiftright("at", 6).alias("at")).agg(F.expr("bit_or(shiftleft(1L, cast(at & 63 as int)))").alias("bits")).toArrow()  # 16 MB at most
+    return common, Names(bits.column("at").to_numpy(), bits.column("bits").to_numpy())
 
 
 def reliabilities(patterns: list[tuple[str, int]], rounds: int = 12, prior_weight: float = 50.0):
@@ -290,11 +336,11 @@ def _clean(text: str) -> str:
 _SPANS = "k {kind}, field string, start int, stop int, votes string, features array<int>"
 
 
-def _spans(df: DataFrame, key: str, fields: list[str], derived: str | None, common: frozenset, known: frozenset) -> DataFrame:
+def _spans(df: DataFrame, key: str, fields: list[str], derived: str | None, common: frozenset, known: Names) -> DataFrame:
     """One row for each candidate span; of ``derived``, the cleaned form of the fields put together,
     only where it isn't just that."""
     spark = ship(df.sparkSession)
-    shared = spark.sparkContext.broadcast((common, known))  # words of the bounded sample
+    shared = spark.sparkContext.broadcast((common, known))  # both bounded, see vocabulary()
     names = [*fields, *([derived] if derived else [])]
     kind = df.schema[key].dataType.simpleString()
 
@@ -338,12 +384,10 @@ def _spans(df: DataFrame, key: str, fields: list[str], derived: str | None, comm
     return df.select(df[key].alias("k"), *[df[f].cast("string").alias(f"t{i}") for i, f in enumerate(names)]).mapInArrow(run, _SPANS.format(kind=kind))
 
 
-def spans(df: DataFrame, key: str, fields: list[str], derived: str | None = None, sample_rows: int = SAMPLE_ROWS, sample_spans: int = SAMPLE_SPANS) -> DataFrame:
+def spans(df: DataFrame, key: str, fields: list[str], derived: str | None = None, sample_spans: int = SAMPLE_SPANS) -> DataFrame:
     """(k, field, start, stop, kind, probability) of the personal spans of all records."""
     spark = ship(df.sparkSession)
-    some = df.select(*[df[f].cast("string").alias(f"t{i}") for i, f in enumerate(fields)]).select("*", F.xxhash64(*[f"t{i}" for i in range(len(fields))]).alias("h"))
-    sample = some.where(F.pmod("h", F.lit(_share(df, sample_rows))) == 0).limit(2 * sample_rows).collect()
-    common, known = vocabulary([x for r in sample for x in r[:-1] if x])
+    common, known = vocabulary(df, fields)
     found = cut(_spans(df, key, fields, derived, common, known), "spans")
     patterns = sorted((r["votes"], r["count"]) for r in found.groupBy("votes").count().collect())  # the patterns of 14 labelers' votes: some hundreds
     if not patterns:
@@ -371,11 +415,6 @@ def spans(df: DataFrame, key: str, fields: list[str], derived: str | None = None
     return found.mapInArrow(run, f"k {kind}, field string, start int, stop int, kind string, probability double")
 
 
-def _share(df: DataFrame, rows: int) -> int:
-    """1 of how many records makes about ``rows``."""
-    return max(1, df.count() // rows)
-
-
 def found(df: DataFrame, key: str, fields: list[str], derived: str | None = None) -> DataFrame:
     """(key, field, kind): each kind of personal information that a field holds."""
     return spans(df, key, fields, derived).select(F.col("k").alias(key), "field", "kind").distinct()

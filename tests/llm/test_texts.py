@@ -175,6 +175,15 @@ def test_personal_kinds_and_masking(spark):
     assert personal.found(df.limit(0), "post_id", ["title", "body"]).count() == 0
 
 
+def test_vocabulary_counts_all_records(spark):
+    rows = [(str(i), None, f"the ordinary words of a post {i}") for i in range(15_000)] + [(f"n{i}", None, "My name is Quillon Zebrask, I think.") for i in range(2)]
+    rows += [(f"c{i}", None, "Seldomly it rained here.") for i in range(12)]
+    common, known = personal.vocabulary(_posts(spark, rows), ["title", "body"])
+    assert {"ordinary", "post", "seldomly"} <= common and "quillon" not in common
+    assert "quillon" in known and "zebrask" in known and "ordinary" not in known
+    assert personal.vocabulary(_posts(spark, rows[:0], "post_id string, title string, body string"), ["body"])[0] == frozenset()
+
+
 def test_expectation_maximisation_keeps_kinds_apart():
     patterns = [("2" + "----2-2-------", 300), ("2" + "-----3-3------", 300), ("2" + "----------0---", 300), ("2" + "-2-----3------", 40)]
     patterns = [(p[:15].ljust(15, "-"), n) for p, n in patterns]
