@@ -8,9 +8,11 @@ the corpus is affected, and that other word is its verified original.
 Three kinds of chains differ in what a match proves. ``utf8`` (UTF-8 bytes read as something else,
 once or twice) and ``loss`` (other bytes read as UTF-8, with replacement characters) lead to forms
 that no language writes, so one match is proof. ``swap`` (one 8-bit encoding read as another) leads
-to letters that some language writes: such a match counts only where the original is more frequent
-than the form, and where the field has two different words, or a word of four letters beyond ASCII,
-that match along the same chain.
+to letters that some language writes, so the direction of a chain is decided over all words of a field
+that match along it: by signs that a language doesn't write so (scripts mixed in a word, a symbol or a
+capital inside it, three accented Latin letters in a row), and where those are even, by whether the originals
+are in more different texts than the forms. It counts where the field has two different words, or a word of four
+letters beyond ASCII, that match along the chain, or one with a plain sign whose original has none.
 
 The plan: lengths in bytes and characters pick the fields with other than ASCII characters; their
 words are cut out natively; the vocabulary is one aggregation; forms are made for distinct words
@@ -52,6 +54,9 @@ MULTI_BYTE = {"gbk", "big5", "shift_jis", "euc_kr", "euc_jp"}
 WORD = r"[A-Za-z']*+[^\x00-\x7F][A-Za-z'\x{80}-\x{10FFFF}]*+"
 _WORD = re.compile("[A-Za-z']*[^\\x00-\\x7F][A-Za-z'\\x80-\\U0010ffff]*")
 _PROOF = r"[\uFFFD\x{80}-\x{9F}]|[\xC0-\xFF]{5}"
+# What no language writes inside a word (plain), and what few do.
+_PLAIN = r"[A-Za-z][\x{370}-\x{4FF}]|[\x{370}-\x{4FF}][A-Za-z]|\p{Ll}\p{Lu}|\p{L}[\xA1-\xBF\xD7\xF7\x{2C6}\x{2DC}\x{2202}-\x{22FF}\x{25CA}]\p{L}"
+_FEW = r"[\xC0-\xFF]{3}"
 SALT = 16
 _tables: dict[str, dict[int, str]] = {}
 
@@ -123,11 +128,11 @@ def _forms_table(vocabulary: DataFrame) -> DataFrame:
 
 
 def field_words(df: DataFrame, key: str, fields: list[str]) -> DataFrame:
-    """(k, field, word): the distinct words with characters beyond ASCII of each field."""
+    """(k, field, t, word): the distinct words with characters beyond ASCII of each field; t is a hash of its text."""
     each = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), df[f].cast("string").alias("text")) for f in fields]))
     texts = df.where(F.greatest(F.lit(0), *[F.coalesce(F.octet_length(df[f]) - F.char_length(df[f]), F.lit(0)) for f in fields]) > 0).select(df[key].alias("k"), each.alias("e"))
     texts = texts.select("k", "e.*").where(F.octet_length("text") > F.char_length("text"))
-    return texts.select("k", "field", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))).alias("word"))
+    return texts.select("k", "field", F.xxhash64("text").alias("t"), F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))).alias("word"))
 
 
 def affected(df: DataFrame, key: str, fields: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -135,21 +140,23 @@ def affected(df: DataFrame, key: str, fields: list[str]) -> tuple[DataFrame, Dat
     original is known; words has (k, field, word, chain, original) for all matches that count."""
     spark = ship(df.sparkSession)
     words = cut(field_words(df, key, fields), "words")
-    vocabulary = words.groupBy("word").agg(F.count("*").alias("n"))
+    vocabulary = words.select("word", "t").distinct().groupBy("word").agg(F.count("*").alias("n"))  # copies of a text count once
     forms = _forms_table(vocabulary).join(vocabulary.select(F.col("word").alias("form"), F.col("n").alias("n_form")), "form")
     # the forms that occur: far fewer than all forms, as the vocabulary holds them already
-    table = cut(forms.where("kind != 'swap' or n_original > n_form"), "forms")
+    plain, odd = lambda c: F.col(c).rlike(_PLAIN), lambda c: F.col(c).rlike(_PLAIN).cast("int") * 2 + F.col(c).rlike(_FEW).cast("int")
+    table = cut(forms.withColumns({"sign": odd("form") - odd("original"), "sure": plain("form") & ~plain("original")}), "forms")
     salted = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
     hits = (
         words.withColumn("salt", F.expr(f"cast(pmod(xxhash64(k), {SALT}) as int)"))
         .join(salted.withColumnRenamed("form", "word"), ["word", "salt"])
-        .select("k", "field", "word", "chain", "kind", "original", "n_original")
+        .select("k", "field", "word", "chain", "kind", "original", "n_original", "n_form", "sign", "sure")
+        .distinct()
     )
     beyond = F.length(F.regexp_replace("word", r"[\x00-\x7F’‘“”–—…]", ""))
     per_chain = hits.groupBy("k", "field", "chain", "kind").agg(
-        F.collect_list(F.struct("word", "original", "n_original")).alias("found"), F.count_distinct("word").alias("n_words"), F.max(beyond).alias("longest")
+        F.collect_list(F.struct("word", "original", "n_original")).alias("found"), F.count_distinct("word").alias("n_words"), F.max(beyond).alias("longest"), F.sum("sign").alias("sign"), F.sum("n_original").alias("n_o"), F.sum("n_form").alias("n_f"), F.max("sure").alias("sure")
     )
-    counted = cut(per_chain.where("kind != 'swap' or n_words >= 2 or longest >= 4"), "hits")
+    counted = cut(per_chain.where("kind != 'swap' or (sign > 0 or sign = 0 and n_o > n_f) and (n_words >= 2 or longest >= 4 or sure)"), "hits")
     best = counted.groupBy("k", "field").agg(F.max_by("chain", F.struct("n_words", F.col("kind") != "swap", "chain")).alias("chain"), F.max("n_words").alias("n_known"))
     # exact check: characters that only a wrong decoding leaves
     proof = words.where(F.col("word").rlike(_PROOF)).groupBy("k", "field").agg(F.count("*").alias("n_proof"))

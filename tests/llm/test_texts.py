@@ -29,6 +29,16 @@ def test_affected_fields_and_their_originals(spark):
     assert encodings.affected(df.limit(0), "post_id", ["title"])[0].count() == 0
 
 
+def test_direction_of_swaps(spark):
+    bad = lambda t, a, b: t.encode(a).decode(b)
+    rows = [("c0", "x", CLEAN[2]), ("c1", "x", "Mutter möchte Übung später"), ("c2", "x", "El señor Muñoz está aquí mañana")]
+    rows += [(f"h{i}", "x", bad(CLEAN[2], "cp1251", "latin_1")) for i in range(9)]  # one text, copied
+    rows += [(f"d{i}", "x", bad(CLEAN[1], "cp1252", "mac_roman") + f" {i}") for i in range(4)] + [("c3", "x", CLEAN[1])]  # more texts than the original has
+    rows += [("t0", "x", bad("Mutter möchte Übung später", "cp1252", "cp1251")), ("s0", bad("mañana", "cp1252", "mac_roman") + " again", "x")]
+    got = sorted((r["post_id"], r["field"]) for r in encodings.affected(_posts(spark, rows), "post_id", ["title", "body"])[0].collect())
+    assert got == sorted([(f"h{i}", "body") for i in range(9)] + [(f"d{i}", "body") for i in range(4)] + [("t0", "body"), ("s0", "title")])
+
+
 def test_forms_are_one_way():
     assert ("utf8>latin_1", "utf8", "Ã©") in encodings.garbled_forms("é")
     assert all("é" != f for _, _, f in encodings.garbled_forms("Ã©"))
