@@ -183,22 +183,46 @@ def test_personal_kinds_and_masking(spark):
     assert masked["p4"] == "They asked for my social, <ID_NUMBER>, at the counter." and masked["p8"] == "My name is <NAME>, I'm new here."
     assert re.fullmatch(r"I live at <ADDRESS> and it is far\.", masked["p6"])
     assert personal.found(df.limit(0), "post_id", ["title", "body"]).count() == 0
+    assert personal.masked(df.limit(0), "post_id", ["body"], marks).count() == 0
 
 
 def test_vocabulary_counts_all_records(spark):
     rows = [(str(i), None, f"the ordinary words of a post {i}") for i in range(15_000)] + [(f"n{i}", None, "My name is Quillon Zebrask, I think.") for i in range(2)]
     rows += [(f"c{i}", None, "Seldomly it rained here.") for i in range(12)]
-    common, known = personal.vocabulary(_posts(spark, rows), ["title", "body"])
+    common, known = personal.vocabulary(personal._scan(_posts(spark, rows), "post_id", ["title", "body"], None))
     assert {"ordinary", "post", "seldomly"} <= common and "quillon" not in common
     assert "quillon" in known and "zebrask" in known and "ordinary" not in known
-    assert personal.vocabulary(_posts(spark, rows[:0], "post_id string, title string, body string"), ["body"])[0] == frozenset()
+    assert personal.vocabulary(personal._scan(_posts(spark, rows[:0]), "post_id", ["body"], None))[0] == frozenset()
 
 
 def test_expectation_maximisation_keeps_kinds_apart():
     patterns = [("2" + "----2-2-------", 300), ("2" + "-----3-3------", 300), ("2" + "----------0---", 300), ("2" + "-2-----3------", 40)]
     patterns = [(p[:15].ljust(15, "-"), n) for p, n in patterns]
-    post, precision = personal.reliabilities(patterns)
-    assert [post[p].argmax() for p, _ in patterns] == [2, 3, 0, 3] and (precision >= 0.55).all()
+    post, _ = personal.reliabilities(patterns)
+    assert [post[p].argmax() for p, _ in patterns] == [2, 3, 0, 3]
+
+
+def test_a_bad_labeler_is_found_out():
+    # labeler 12 speaks for names wherever labelers 9 and 11, who are right elsewhere, speak against them
+    pattern = lambda **v: "5" + "".join(v.get(f"v{i}", "-") for i in range(14))
+    sizes = {pattern(v6="5", v3="5"): 4000, pattern(v7="5", v8="5"): 4000, pattern(v9="0", v11="0", v12="5"): 9000, pattern(v9="0", v11="0", v13="0"): 9000, pattern(v12="5", v9="0"): 500}
+    post, chances = personal.reliabilities(sorted(sizes.items()))
+    assert post[pattern(v12="5", v9="0")].argmax() == 0 and post[pattern(v6="5", v3="5")].argmax() == 5
+    classes, chance = chances[5]
+    assert chance[classes.index(0), 12, 6] > chance[classes.index(5), 12, 6]  # its vote speaks against a name
+
+
+def test_what_is_found_is_masked(spark):
+    texts = [t for _, t in CASES] + ["Mr Ashgrove told me.\nRegards,\nThora Varnwick", "See [mail orla.fenn@mail.example](http://x.example) or orla.fenn@mail.example again", "Thora Varnwick, Thora Varnwick and 212-555-0166 or 212-555-0166"]
+    df = _posts(spark, [(f"p{i}", f"About {i}", f"{t}  Case {i % 7}.") for i, t in enumerate(texts * 6)] + [("p0", "About 0", f"{texts[0]}  Case 0.")])
+    df = df.withColumn("clean_text", F.trim(F.regexp_replace(F.regexp_replace(F.concat_ws(" ", "title", "body"), r"\[([^\]]+)\]\([^)]*\)", "$1"), r"\s+", " ")))
+    marks = spark.createDataFrame([(k, f"<{k.upper()}>") for k in personal.KINDS], "kind string, placeholder string")
+    found = {(r["post_id"], r["field"]): 0 for r in personal.found(df, "post_id", ["title", "body"], "clean_text").collect()}
+    masked = personal.masked(df, "post_id", ["title", "body"], marks, "clean_text").collect()
+    assert {(r["post_id"], r["field"]) for r in masked} == set(found) and len(masked) == len(found)
+    assert {f for _, f in found} == {"body", "clean_text"}
+    left = [r["masked"] for r in masked if re.search(r"orla|Varnwick|555-0166|Ashgrove", r["masked"])]
+    assert left == []
 
 
 @pytest.mark.parametrize("text", ["", "a" * 200_000, "1 " * 100_000, "Aa " * 50_000])
