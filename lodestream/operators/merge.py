@@ -62,14 +62,42 @@ def first_per_partition(df: DataFrame, by: str, order: list[Column | str], n: in
     return df.withColumn("_n", F.row_number().over(Window.partitionBy(by).orderBy(*order))).where(F.col("_n") <= n).drop("_n")
 
 
-def consecutive_runs(df: DataFrame, by: list[str], order: list[str], value: str) -> DataFrame:
-    """The rows where ``value`` differs from the one before it in its partition."""
-    before = F.lag(value).over(Window.partitionBy(*by).orderBy(*order))
-    first = F.row_number().over(Window.partitionBy(*by).orderBy(*order)) == 1
-    return df.withColumn("_b", before).withColumn("_f", first).where(F.col("_f") | ~F.col(value).eqNullSafe(F.col("_b"))).drop("_b", "_f")
+def in_buckets(df: DataFrame, by: list[str], order: list[str], bucket: Column, before: int, add) -> DataFrame:
+    """``add(df, keys)`` adds columns by windows over ``keys`` and ``order`` that look back at most ``before``
+    rows; here it is done without a window over a whole ``by``. Rows are windowed within buckets (ranges
+    of the order, such as days); only the first ``before`` rows of a bucket need others, namely the last ones of the buckets
+    before, and only those meet in one partition of ``by``."""
+    w = Window.partitionBy(*by, "_bucket")
+    n = df.withColumn("_bucket", bucket).withColumns({"_nth": F.row_number().over(w.orderBy(*order)), "_of": F.count(F.lit(1)).over(w)})
+    inner = add(n, [*by, "_bucket"]).where(F.col("_nth") > before)
+    heads = add(n.where((F.col("_nth") <= before) | (F.col("_nth") > F.col("_of") - before)), by).where(F.col("_nth") <= before)
+    return inner.unionByName(heads).drop("_bucket", "_nth", "_of")
 
 
-def trailing_frame(df: DataFrame, by: list[str], order: list[str], text: str, before: int = 2) -> DataFrame:
-    """``df`` with ``context``: the row's text after those of the ``before`` rows ahead of it."""
-    w = Window.partitionBy(*by).orderBy(*order).rowsBetween(-before, 0)
-    return df.withColumn("context", F.array_join(F.collect_list(text).over(w), " "))
+def looked_up(ids: DataFrame, tables: dict[str, DataFrame], key: str) -> DataFrame:
+    """The rows of ``ids`` that every table has a row for, with the tables' other columns; null and empty keys have none."""
+    out = ids.where(F.nullif(F.col(key).cast("string"), F.lit("")).isNotNull())
+    for t in tables.values():
+        out = out.join(t, key)
+    return out
+
+
+def consecutive_runs(df: DataFrame, by: list[str], order: list[str], value: str, bucket: Column | None = None) -> DataFrame:
+    """The rows where ``value`` differs from the one before it in its partition. ``bucket``: see :func:`in_buckets`."""
+
+    def add(d: DataFrame, keys: list[str]) -> DataFrame:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        return d.withColumns({"_b": F.lag(F.struct(value)).over(w)})
+
+    marked = add(df, by) if bucket is None else in_buckets(df, by, order, bucket, 1, add)
+    return marked.where(F.col("_b").isNull() | ~F.col(value).eqNullSafe(F.col("_b")[value])).drop("_b")
+
+
+def trailing_frame(df: DataFrame, by: list[str], order: list[str], text: str, before: int = 2, bucket: Column | None = None) -> DataFrame:
+    """``df`` with ``context``: the row's text after those of the ``before`` rows ahead of it. ``bucket``: see :func:`in_buckets`."""
+
+    def add(d: DataFrame, keys: list[str]) -> DataFrame:
+        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-before, 0)
+        return d.withColumn("context", F.array_join(F.collect_list(text).over(w), " "))
+
+    return add(df, by) if bucket is None else in_buckets(df, by, order, bucket, before, add)

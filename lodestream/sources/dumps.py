@@ -34,15 +34,14 @@ def lines(spark: SparkSession, path: str, *, long_windows: bool = False) -> Data
 def _long(spark: SparkSession, files: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import io
-        from urllib.parse import unquote, urlparse
-
         import zstandard
+        from pyarrow.fs import FileSystem
 
         for b in batches:
             for path in b.column(0).to_pylist():
-                local = unquote(urlparse(path).path)
-                dump = os.path.basename(local).split(".")[0]
-                with open(local, "rb") as raw, zstandard.ZstdDecompressor(max_window_size=LONGEST_WINDOW).stream_reader(raw) as r:
+                where, name = FileSystem.from_uri(path if "://" in path else "file://" + path.removeprefix("file:"))
+                dump = os.path.basename(name).split(".")[0]
+                with where.open_input_stream(name, compression=None) as raw, zstandard.ZstdDecompressor(max_window_size=LONGEST_WINDOW).stream_reader(raw) as r:
                     rows: list[tuple] = []
                     for n, line in enumerate(io.TextIOWrapper(r, encoding="utf-8", errors="replace", newline="\n")):
                         if line.strip():

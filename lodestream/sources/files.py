@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import os
 import re
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -25,23 +25,28 @@ def read_json_array(spark: SparkSession, path: str, schema: StructType | str) ->
 
 
 def write_json_array(df: DataFrame, path: str, order: list[str] | None = None) -> None:
-    """An export for people: one JSON array, nulls kept, replaced as a whole or not at all. Rows are
-    streamed through the driver one partition at a time, so only the file's size is a bound."""
+    """An export for people: one JSON array, nulls kept, replaced as a whole or not at all, in any file system that
+    the session knows. Rows are streamed through the driver one partition at a time, so only the file's size is a bound."""
     rows = (df.orderBy(*order) if order else df).select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("j"))
-    folder = os.path.dirname(os.path.abspath(path))
-    os.makedirs(folder, exist_ok=True)
-    handle, name = tempfile.mkstemp(dir=folder, suffix=".tmp")
+    spark = df.sparkSession
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    made = target.suffix("." + uuid.uuid4().hex + ".tmp")
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
     try:
-        with os.fdopen(handle, "w", encoding="utf-8") as f:
-            f.write("[")
-            for i, r in enumerate(rows.toLocalIterator()):
-                f.write((",\n" if i else "\n") + json.dumps(json.loads(r["j"]), ensure_ascii=False, indent=2))
-            f.write("\n]\n")
-        os.replace(name, path)
-    except BaseException:
-        if os.path.exists(name):
-            os.unlink(name)
-        raise
+        out = jvm.java.io.OutputStreamWriter(fs.create(made, True), "UTF-8")
+        out.write("[")
+        for i, r in enumerate(rows.toLocalIterator()):
+            out.write((",\n" if i else "\n") + json.dumps(json.loads(r["j"]), ensure_ascii=False, indent=2))
+        out.write("\n]\n")
+        out.close()
+        replace = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri() if target.toUri().getScheme() else fs.getUri(), spark._jsc.hadoopConfiguration())
+        option = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        option[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+        replace.rename(made, target, option)
+    finally:
+        if fs.exists(made):
+            fs.delete(made, False)
 
 
 def append_log(df: DataFrame, path: str, key: str = "key", record: str = "record", seq: str = "seq") -> None:
@@ -50,7 +55,10 @@ def append_log(df: DataFrame, path: str, key: str = "key", record: str = "record
 
 
 def read_log(spark: SparkSession, path: str, record_schema: str) -> DataFrame:
-    """(key, record, seq): the last record of each key; torn and invalid lines are passed over."""
+    """(key, record, seq): the last record of each key; torn and invalid lines are passed over; no log is an empty one."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
+        return spark.createDataFrame([], f"key string, record {record_schema}, seq bigint")
     rows = spark.read.schema(f"key string, record {record_schema}, seq bigint, _bad string").option("columnNameOfCorruptRecord", "_bad").json(path)
     return latest(rows.where("_bad is null and key is not null and record is not null").drop("_bad"), "key", ["seq"])
 

@@ -1,6 +1,9 @@
 import json
+import os
+import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lodestream.functions import answers
@@ -154,23 +157,145 @@ def test_timeline_windows(spark):
     assert {r["k"]: r["decision"] for r in timeline.decided(holds, "k").collect()} == {"a": "YES", "b": "NO", "c": "AMBIGUOUS", "d": "AMBIGUOUS"}
 
 
+def test_buckets_change_nothing(spark):
+    rng = random.Random(4)
+    rows = [("hot" if rng.random() < 0.7 else rng.choice("abc"), rng.randrange(0, 12 * 86_400), i, rng.choice("xyz") if rng.random() < 0.9 else None) for i in range(600)] + [(None, 5, 600, "x"), (None, 90_000, 601, "x")]
+    df = spark.createDataFrame(rows, "k string, s bigint, i bigint, v string").withColumn("t", F.timestamp_seconds("s")).withColumn("n", F.col("i") % 7)
+    day = F.floor(F.col("s") / 86_400)
+    same = lambda a, b: sorted(map(str, a.collect())) == sorted(map(str, b.select(*a.columns).collect()))
+    for before in (1, 2, 5):
+        assert same(merge.trailing_frame(df, ["k"], ["s", "i"], "v", before), merge.trailing_frame(df, ["k"], ["s", "i"], "v", before, day))
+    assert same(merge.consecutive_runs(df, ["k"], ["s", "i"], "v"), merge.consecutive_runs(df, ["k"], ["s", "i"], "v", day))
+    for span in (3_600_000_000, 86_400_000_000):
+        plain = Window.partitionBy("k").orderBy(F.col("s") * 1_000_000).rangeBetween(-(span - 1), 0)
+        assert same(df.withColumn("rolling_total", F.sum("n").over(plain)), timeline.rolling(df, ["k"], "t", "n", span))
+        hours = (F.col("s") - F.lag("s").over(Window.partitionBy("k").orderBy("s", "i"))) * 1_000_000 / F.lit(3_600_000_000.0)
+        assert same(df.withColumn("hours_since_last", hours), timeline.since_last(df, ["k"], "t", "i", span))
+    left, right = df.where("v = 'x'").select("k", "t", "i"), df.where("v = 'y' or v is null and n > 3").select("k", "t", "n")
+    got = timeline.as_of(left, right, ["k"], "t", "t", "n", 3_600_000_000)
+    want = [(l["k"], l["i"], max(((r["t"], r["n"]) for r in right.collect() if r["k"] == l["k"] and r["t"] <= l["t"]), default=(None, None))[1]) for l in left.collect()]
+    assert sorted(map(str, want)) == sorted(str((r["k"], r["i"], r["last_n"])) for r in got.collect())
+
+
 HITS = [
-    ("When can I take another tylenol? I took two at noon.", "candidate"), ("How long should I wait after tylenol before more?", "candidate"), ("Can I switch from tylenol to advil tonight?", "candidate"),
+    ("When can I take another tylenol? I took two at noon.", "candidate"), ("How long should I wait after tylenol before I take more?", "candidate"), ("Can I switch from tylenol to advil tonight?", "candidate"),
     ("Can I mix tylenol with beer?", "excluded_intent"), ("Can I take another tylenol for my dog?", "excluded"), ("Tylenol is cheap here.", "no_repeat_question"), ("How much tylenol is too much?", "candidate"),
     ("I took aspirin. Can I take tylenol again?", "other_medicine"), ("", "no_repeat_question"), (None, "no_repeat_question"), ("I took advil. May I have another one now?", "candidate"),
+    ("Can I take tylenol mixed with juice?", "excluded_intent"), ("Can I take tylenol mixed with advil before bed?", "candidate"),
 ]
 
+# For each rule a text that it holds for; where an earlier dose is needed, its first sentence tells of it.
+RULE_HITS = {
+    "explicit_same_medicine_repeat_question": "Can I take another tylenol?",
+    "same_medicine_interval_question": "How long after taking tylenol can I take it?",
+    "when_take_same_medicine_again": "I took tylenol at noon. When can I take the tylenol tablets again?",
+    "wait_after_same_medicine_dose": "How long after having tylenol should my wife wait to take it again?",
+    "wait_before_same_medicine_again": "I took tylenol at 8. How long must I wait before taking some tylenol pills again?",
+    "take_more_same_medicine": "I took tylenol two hours ago. Can I take a bit more of the tylenol?",
+    "safe_to_take_same_medicine_again": "I took tylenol at noon. Is it safe for me to take tylenol pills again?",
+    "interval_between_same_medicine_doses": "What is the minimum gap between two tylenol doses?",
+    "one_brand_to_another_same_medicine": "How long after taking tylenol should someone wait to take another cheaper brand?",
+    "consecutive_same_medicine_doses": "How soon before consecutive tylenol doses?",
+    "same_ingredient_product_interval": "How long after taking a product with tylenol must one wait before taking another?",
+    "prior_dose_then_another_dose": "I took tylenol at noon. Can I have another pill?",
+    "prior_dose_then_wait_for_next": "I took tylenol at noon. How long until I have the next dose?",
+    "prior_dose_then_take_now": "I took tylenol at noon. Should I take it now?",
+    "switch_between_target_medicines": "Can I switch from tylenol to advil?",
+    "replace_between_target_medicines": "Should I replace the tylenol with advil?",
+    "take_target_instead_of_other_target": "Can I take advil instead of tylenol?",
+    "alternate_between_target_medicines": "Can I alternate tylenol and advil?",
+    "prior_target_then_other_target": "I took tylenol at noon. Can I take advil?",
+    "interval_between_target_medicines": "How long after tylenol can I take advil?",
+    "contextual_target_switch": "Tylenol instead of advil tonight, or what?",
+    "contextual_explicit_repeat_question": "Is tylenol fine to take once more or again?",
+    "contextual_dose_interval_question": "What about the gap between one and the other of my tylenol doses?",
+    "contextual_prior_dose_followup": "I used tylenol at noon. It rained all day. We stayed in. Is it bad to take a second pill?",
+    "contextual_post_level_repeat_question": "Tylenol is in the drawer. It rained all day. We stayed in. Is it bad to take a second pill?",
+    "dosing_amount_question": "How much tylenol is too much?",
+}
+NEED_EARLIER = ("when_take_same_medicine_again", "take_more_same_medicine", "safe_to_take_same_medicine_again", "wait_before_same_medicine_again")
+
+
+def test_every_rule_and_its_near_misses():
+    from lodestream.sources import dose_rules
+
+    m = classify._Matcher(classify.RuleSet())
+    assert {*dose_rules.SWITCHES, *dose_rules.EXPLICIT, *dose_rules.IMPLICIT, classify.AMOUNT} <= set(RULE_HITS)
+    for name, text in RULE_HITS.items():
+        outcome, _, evidence, _ = m.judge("", text)
+        assert (outcome, evidence and evidence["rule_id"]) == ("candidate", name), text
+        missed = m.judge("", text.replace("tylenol", "water").replace("Tylenol", "Water").replace("advil", "juice"))
+        assert missed[0] == ("excluded_intent" if "eplac" in text else "no_repeat_question") and missed[2] is None, text
+        assert m.judge("", f"{text} With beer.")[0] in ("excluded_intent", "candidate")
+        assert m.judge("After the beer", text)[0] == "excluded_intent"
+    for name in NEED_EARLIER + ("prior_dose_then_another_dose", "prior_dose_then_wait_for_next", "prior_dose_then_take_now"):
+        evidence = m.judge("", RULE_HITS[name].split(". ", 1)[1])[2]
+        assert (evidence or {}).get("rule_id") != name
+
+
+def test_evidence_of_rules():
+    m = classify._Matcher(classify.RuleSet())
+    e = m.judge("", "I took tylenol two hours ago. Can I take a bit more of the tylenol?")[2]
+    assert e["prior_dose_text"].startswith("I took tylenol") and e["question_text"] == "Can I take a bit more of the tylenol" and e["time_expressions"] == ["two hours ago"]
+    # without a time only a first dose that failed stands for the earlier one
+    assert (m.judge("", "I took tylenol. Can I take a bit more of the tylenol?")[2] or {}).get("rule_id") != "take_more_same_medicine"
+    assert m.judge("", "Can I take a bit more of the tylenol if the first did not work?")[2]["rule_id"] == "take_more_same_medicine"
+    # the role texts are the match and the earlier dose, not the window around them
+    assert m.judge("", "Can I take another tylenol. My neighbour sells aspirin by the box.")[0] == "candidate"
+    assert m.judge("", "My aspirin ran out. I took tylenol at noon. Should I take it now?")[0] == "candidate"
+    # only a title is a title
+    assert m.judge("", "We drank wine once. It rained. Much later I slept. Can I take another tylenol?")[0] == "candidate"
+    # "instead of" near another medicine gives it a role
+    assert m.judge("", "I want tylenol instead of aspirin. Is that safe to take?")[:2] == ("other_medicine", ["aspirin"])
+    assert m.judge("", "x" * 300_000)[0] == "no_repeat_question"
+
 
 def test_classifier_cascade(spark):
-    df = spark.createDataFrame([(str(i), None, t) for i, (t, _) in enumerate(HITS)], "post_id string, title string, body string")
+    df = spark.createDataFrame([(str(i), None, t) for i, (t, _) in enumerate(HITS)], "post_id string, title string, body string").withColumn("r", F.lit("clash"))
     df = clean.normalize(df)
     got = {int(r["post_id"]): r for r in classify.classified(df).collect()}
     assert [got[i]["outcome"] for i in range(len(HITS))] == [o for _, o in HITS]
     e = got[2]["evidence"]
     assert (e["rule_id"], e["source_medicine"], e["target_medicine"], e["transition"]) == ("switch_between_target_medicines", "acetaminophen", "ibuprofen", "acetaminophen_to_ibuprofen")
-    assert got[7]["other_medicines"] == ["aspirin"]
+    assert got[7]["other_medicines"] == ["aspirin"] and got[7]["r"] == "clash"
     assert classify.stored(classify.classified(df)).count() == sum(o == "candidate" for _, o in HITS)
     assert classify.classified(df.limit(0)).count() == 0
+    assert classify.classified(df, keep=["post_id"]).columns == ["post_id", "clean_text", "outcome", "other_medicines", "evidence", "gate", "matched_dosing_terms", "decidability"]
+    s = classify.summary(classify.classified(df.withColumn("sub", F.lit("s"))), "sub").first()
+    assert s["input"] == len(HITS) == sum(s[c] for c in classify.COUNTERS) and s["by_other_medicine"] == {"aspirin": 1}
+    assert sum(s["by_medicine"].values()) == s["candidates"] == s["decidable"] + s["undecidable"]
+
+
+def test_a_killed_run_goes_on_from_its_log(spark, tmp_path):
+    df = spark.range(40).select(F.col("id").cast("string").alias("key"), F.col("id").alias("seq"), F.concat(F.lit('{"post_id":"'), F.col("id"), F.lit('"}')).alias("payload"))
+    calls, log = str(tmp_path / "calls"), str(tmp_path / "log")
+    os.makedirs(calls)
+
+    def dies_at(n):
+        def call(payload):
+            import os as o
+            import uuid as u
+
+            if n is not None and len(o.listdir(calls)) >= n:
+                o._exit(1)  # the worker is killed
+            open(o.path.join(calls, f"{payload['post_id']}-{u.uuid4().hex}"), "w").close()
+            return {"text": "fine"}
+
+        return call
+
+    none = spark.createDataFrame([], f"key string, record {annotate.RECORD}")
+    work = df.repartition(1)
+    with pytest.raises(Exception):
+        annotate.run(work, none, log, dies_at(25), "m", "p", "t1", chunk=8)
+    kept = {r["key"] for r in files.read_log(spark, log, annotate.RECORD).collect()}
+    assert 0 < len(kept) < 40
+    before = os.listdir(calls)
+    out = annotate.run(work, none, log, dies_at(None), "m", "p", "t2", chunk=8)
+    again = {f.split("-")[0] for f in set(os.listdir(calls)) - set(before)}
+    assert again == {str(i) for i in range(40)} - kept and out.count() == 40
+    assert [r["seq"] for r in annotate.results(df.repartition(5), out).collect()] == list(range(40))
+    annotate.finish(df, out, str(tmp_path / "out.json"), log)
+    assert [r["seq"] for r in spark.read.json(str(tmp_path / "out.json"), multiLine=True).collect()] == list(range(40)) and not os.path.exists(log)
 
 
 def _annotator():
@@ -196,15 +321,15 @@ def test_annotation_resumes(spark, tmp_path):
     log = str(tmp_path / "log")
     first = annotate.run(c, none, log, _flaky, "m", "p", "now")
     assert {r["key"]: r["record"]["status"] for r in first.collect()} == {"a": "completed", "bad1": "error", "u": "completed", "index:3": "completed"}
-    assert [r["key"] for r in annotate.work_list(c, first, "m", "p").collect()] == ["bad1"]
-    assert annotate.work_list(c, first, "m", "other prompt").count() == 4
-    assert annotate.work_list(c, first, "m", "other prompt", 2).count() == 2
+    assert [r["key"] for r in annotate.work_list(c, first, "m", annotate.prompt_hash("p")).collect()] == ["bad1"]
+    assert annotate.work_list(c, first, "m", annotate.prompt_hash("other prompt")).count() == 4
+    assert annotate.work_list(c, first, "m", annotate.prompt_hash("other prompt"), 2).count() == 2
     with open(tmp_path / "log" / "torn.json", "w") as f:
         f.write('{"key": "a", "rec')
     again = annotate.run(c, none, log, _flaky, "m", "p", "later")
     assert again.count() == 4
-    tried = annotate.annotated(annotate.work_list(c, first, "m", "p"), _flaky, "m", "p", "x")
-    s = annotate.stats(c, first, tried, "m", "p").first()
+    tried = annotate.annotated(annotate.work_list(c, first, "m", annotate.prompt_hash("p")), _flaky, "m", "p", "x")
+    s = annotate.stats(c, first, tried, "m", annotate.prompt_hash("p")).first()
     assert (s["completed"], s["errors"], s["remaining"], s["attempted"], s["failed"], s["reused"]) == (3, 1, 1, 1, 1, 3)
     assert annotate.joined(c, first).count() == 4 and annotate.planned_calls(c, 3) == 3
     assert isinstance(annotate.run_all({"x": (c, none.withColumnRenamed("key", "k"), log)}, annotator=_flaky, model="m", prompt="p", stamp="n")["x"], Exception)
