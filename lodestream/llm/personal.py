@@ -465,7 +465,7 @@ class Model:
         """(kind, probability) of spans by their features; kind ``NONE`` is not personal."""
         if self.weights is None or not features:
             return np.zeros(len(features), np.int64), np.ones(len(features))
-        z = linear.scores(self.weights, *linear.pad([(f, [1.0] * len(f)) for f in features], DIM))
+        z = linear.scores(self.weights, linear.rows(features, DIM))
         e = np.exp(z - z.max(1, keepdims=True))
         return z.argmax(1), (e / e.sum(1, keepdims=True)).max(1)
 
@@ -510,9 +510,8 @@ def learned(df: DataFrame, key: str, fields: list[str], derived: str | None = No
         return Model(common, known, None), spans
     post, _ = reliabilities(patterns)
     rows = spans.select("votes", "features", F.xxhash64("features", "votes").alias("h")).distinct().orderBy("h").limit(sample_spans).collect()
-    idx, val = linear.pad([(r["features"], [1.0] * len(r["features"])) for r in rows], DIM)
     Y = np.stack([post[r["votes"]] for r in rows]).astype(np.float32)
-    return Model(common, known, linear.fit(idx, val, Y, DIM, epochs=120, rate=0.1, l2=2e-5)), spans
+    return Model(common, known, linear.fit(linear.rows([r["features"] for r in rows], DIM), Y, DIM, epochs=120, rate=0.1, l2=2e-5)), spans
 
 
 def spans(df: DataFrame, key: str, fields: list[str], derived: str | None = None, sample_spans: int = SAMPLE_SPANS) -> DataFrame:

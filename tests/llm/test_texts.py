@@ -109,7 +109,8 @@ def test_defects_of_answers(spark):
     assert {k: got[k] for k in sound if k in got} == {}
     assert got[3001] == "empty"
     assert sum(k < 1000 for k in got) <= 8  # sound recorded answers
-    small = answers.defects(df.where("case_id in (1, 1001)"), ["case_id"], "question_text", "raw_output")
+    with pytest.warns(UserWarning, match="too few"):
+        small = answers.defects(df.where("case_id in (1, 1001)"), ["case_id"], "question_text", "raw_output")
     assert {r["case_id"]: r["defect"] for r in small.collect()} == {1001: "empty"}
     assert answers.defects(df.limit(0), ["case_id"], "question_text", "raw_output").count() == 0
 
@@ -125,6 +126,32 @@ def test_refusals_late_in_an_answer(spark):
     assert {k: got.get(k) for k in (1000, 1001, 2000)} == {1000: "refusal", 1001: "refusal", 2000: None}
 
 
+def test_answers_in_words_that_were_never_made(spark):
+    rows = _runs()
+    q = rows[1][3]
+    refusals = ["Answering would be irresponsible of me.", "Let us leave that to professionals.", "I'm afraid I can't offer guidance on medication.", "I'd rather not weigh in on dosing.", "That's a call for your doctor, so I won't answer."]
+    foreign = ["Согласно вопросу, между приёмами прошло достаточно времени. Следующую дозу можно принять.", "質問によると、間隔は十分に空いています。次の服用をしても問題ありません。", "Σύμφωνα με την ερώτηση, έχουν περάσει αρκετές ώρες. Μπορείτε να πάρετε την επόμενη δόση."]
+    raw = lambda a: '{"reasoning":"%s","decision":null,"confidence":5}' % a
+    rows += [(1000 + i, "m", 1, q, raw(a)) for i, a in enumerate(refusals)] + [(2000 + i, "m", 1, q, raw(a).replace("null", '"A"')) for i, a in enumerate(foreign)]
+    df = spark.createDataFrame(rows, "case_id int, model string, run_id int, question_text string, raw_output string")
+    got = {r["case_id"]: r["defect"] for r in answers.defects(df, ["case_id", "model", "run_id"], "question_text", "raw_output").collect()}
+    assert [got.get(2000 + i) for i in range(3)] == ["other_language"] * 3
+    assert sum(got.get(1000 + i) == "refusal" for i in range(len(refusals))) >= 4
+    assert sum(k < 1000 for k in got) <= 8
+
+
+def test_features_of_a_batch_are_those_of_each_pair():
+    rows = _runs(60)
+    qs, rs = [r[3] for r in rows] + [None, "", "Why?"], [r[4] for r in rows] + [None, "", "One two " * 30_000]
+    ends = answers.Ends.from_texts([answers.answer_of(r)[0] for r in rs])
+    whole = answers.features(qs, rs, ends, answers.Words())
+    for i, (q, r) in enumerate(zip(qs, rs)):
+        one = answers.features([q], [r], ends, answers.Words())
+        at = slice(whole.starts[i], whole.starts[i] + whole.sizes[i])
+        assert dict(zip(one.idx, one.val.round(5))) == dict(zip(whole.idx[at], whole.val[at].round(5)))
+    assert len(answers.features([], [], ends, answers.Words())) == 0
+
+
 # ---- subjects
 
 
@@ -151,11 +178,33 @@ def test_subjects_of_held_out_documents(spark):
         got.setdefault(r["doc_id"], set()).add(r["subject"])
     want = {i: {0: set(), 1: {"law"}, 2: {"food"}, 3: {"law", "food"}}[i % 4] for i in range(180, 240)}
     assert sum(got.get(i, set()) == w for i, w in want.items()) >= 57 and not {900, 901} & set(got)
-    assert subjects.composition(d, found, "doc_id").count() == 3
+    shares = {r["subject"]: r["n_documents"] for r in subjects.composition(d, found, "doc_id").collect()}
+    assert set(shares) == {"law", "food", None} and shares[None] == d.count() - len(got)
     assert subjects.subjects(d, lab.limit(0), "doc_id", "text", "source", "lang").count() == 0
     assert subjects.subjects(d.limit(0), lab, "doc_id", "text", "source", "lang").count() == 0
 
 
+def test_beam_search_is_exact_where_it_is_wide():
+    import itertools
+
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    E, S = rng.random((40, 4, 8)).astype(np.float32), rng.random((40, 3)).astype(np.float32)
+    chain = [rng.normal(size=9 + 3 + k).astype(np.float32) for k in range(4)]
+    best = subjects.decode(chain, E, S, 16)
+    for d in range(40):
+        def chance(labels):
+            total = 0.0
+            for k, w in enumerate(chain):
+                x = np.concatenate([subjects._link_input(E[d : d + 1], k)[0], S[d], np.array(labels[:k], np.float32)])
+                z = float(x @ w)
+                total -= np.logaddexp(0, -z if labels[k] else z)
+            return total
+
+        assert tuple(best[d].astype(int)) == max(itertools.product((0, 1), repeat=4), key=chance)
+
+
 # ---- personal information
 
 CASES = [
