@@ -302,7 +302,13 @@ class Ends:
         return out
 
 
-def features(questions: list[str | None], raws: list[str | None], ends: Ends, known: Words) -> linear.Rows:
+def features(questions: list[str | None], raws: list[str | None], ends: Ends, known: Words, at_a_time: int = 2000) -> linear.Rows:
+    """:func:`_features` of a slice of the pairs at a time, which bounds memory."""
+    parts = [_features(questions[i : i + at_a_time], raws[i : i + at_a_time], ends, known) for i in range(0, max(1, len(raws)), at_a_time)]
+    return linear.joined(parts)
+
+
+def _features(questions: list[str | None], raws: list[str | None], ends: Ends, known: Words) -> linear.Rows:
     """The features of pairs: what the pair is like (numbers below ``_DENSE``) and hashed n-grams of the answer, in which
     the words of the question are one word."""
     n = len(raws)
@@ -383,6 +389,11 @@ def _as_raw(rng: random.Random, text: str | None) -> str:
 
 
 def _copy(rng: random.Random, q: str) -> str:
+    """``q`` with one small change, or with two."""
+    return _changed(rng, _changed(rng, q)) if rng.random() < 0.3 else _changed(rng, q)
+
+
+def _changed(rng: random.Random, q: str) -> str:
     k = rng.randrange(11)
     if k == 9:
         return q.rstrip("?.! ") + rng.choice([".", "...", "!", " ?"])
@@ -400,7 +411,8 @@ def _copy(rng: random.Random, q: str) -> str:
         return q.rstrip("?.! ")
     if k == 5:
         ws = q.split()
-        del ws[rng.randrange(len(ws))]
+        if ws:
+            del ws[rng.randrange(len(ws))]
         return " ".join(ws)
     if k == 6:
         swap = {"I": "you", "my": "your", "me": "you", "My": "Your", "am": "are"}

@@ -21,10 +21,14 @@ in a third of all fields is one row of the table, so the join is on (word) again
 fields and such a word is spread by salting it ``SALT`` times.
 
 Exact check on what the table can't know, as the original never occurs: a replacement character, a C1
-control character or five accented Latin letters in a row are left by nothing but a wrong decoding.
+control character, or five accented Latin letters in a row that no one alphabet has together are left by nothing but a
+wrong decoding.
 
-Defined results: null and empty fields and pure ASCII fields are never affected; posts written twice
-give one row; a word is restored only if the chain that explains most words of its field has one
+All this is worked out for different texts, each known by two 64-bit hashes; what is found is joined back to the fields
+that hold the text, with the texts salted, as one may be in a third of all fields.
+
+Defined results: null and empty fields and pure ASCII fields are never affected; records that repeat a key, a field
+and its text give one row, also with a null key; a word is restored only if the chain that explains most words of its field has one
 original for it; other words stay as they are and the field's ``restored`` is false.
 """
 
@@ -34,7 +38,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestream.plans.runtime import cut, ship
@@ -53,11 +57,16 @@ MULTI_BYTE = {"gbk", "big5", "shift_jis", "euc_kr", "euc_jp"}
 
 WORD = r"[A-Za-z']*+[^\x00-\x7F][A-Za-z'\x{80}-\x{10FFFF}]*+"
 _WORD = re.compile("[A-Za-z']*[^\\x00-\\x7F][A-Za-z'\\x80-\\U0010ffff]*")
-_PROOF = r"[\uFFFD\x{80}-\x{9F}]|[\xC0-\xFF]{5}"
+# The accented letters of Latin-1 that German, French, Spanish and Catalan, Portuguese, Italian, the Nordic languages,
+# Icelandic and Faroese, Czech and Slovak, Dutch and Irish write.
+ALPHABETS = ("äöüß", "àâæçèéêëîïôùûüÿ", "àáçèéíïñòóúü", "àáâãçéêíóôõúü", "àèéìíîòóùú", "åæøäöéèêóòôâü", "áæðéíóöøúýþ", "áäéíóôúý", "áéëïóöúèê")
+_PROOF = r"[\uFFFD\x{80}-\x{9F}]|(?iu)(?<![\xC0-\xFF])(?!(?:" + "|".join(f"[{a}]+" for a in ALPHABETS) + r")(?![\xC0-\xFF]))[\xC0-\xFF]{5}"
 # What no language writes inside a word (plain), and what few do.
 _PLAIN = r"[A-Za-z][\x{370}-\x{4FF}]|[\x{370}-\x{4FF}][A-Za-z]|\p{Ll}\p{Lu}|\p{L}[\xA1-\xBF\xD7\xF7\x{2C6}\x{2DC}\x{2202}-\x{22FF}\x{25CA}]\p{L}"
 _FEW = r"[\xC0-\xFF]{3}"
 SALT = 16
+#: Up to so many rows Spark may broadcast the table of forms.
+BROADCAST_FORMS = 200_000
 _tables: dict[str, dict[int, str]] = {}
 
 
@@ -127,57 +136,73 @@ def _forms_table(vocabulary: DataFrame) -> DataFrame:
     return vocabulary.select("word", "n").mapInArrow(run, "form string, chain string, kind string, original string, n_original bigint")
 
 
-def field_words(df: DataFrame, key: str, fields: list[str]) -> DataFrame:
-    """(k, field, t, word): the distinct words with characters beyond ASCII of each field; t is a hash of its text."""
+def texts_of(df: DataFrame, key: str, fields: list[str]) -> DataFrame:
+    """(k, field, text, t): the fields that hold characters beyond ASCII; t are two hashes of the text."""
     each = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), df[f].cast("string").alias("text")) for f in fields]))
-    texts = df.where(F.greatest(F.lit(0), *[F.coalesce(F.octet_length(df[f]) - F.char_length(df[f]), F.lit(0)) for f in fields]) > 0).select(df[key].alias("k"), each.alias("e"))
-    texts = texts.select("k", "e.*").where(F.octet_length("text") > F.char_length("text"))
-    return texts.select("k", "field", F.xxhash64("text").alias("t"), F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))).alias("word"))
+    some = df.where(F.greatest(F.lit(0), *[F.coalesce(F.octet_length(df[f]) - F.char_length(df[f]), F.lit(0)) for f in fields]) > 0).select(df[key].alias("k"), each.alias("e"))
+    some = some.select("k", "e.*").where(F.octet_length("text") > F.char_length("text"))
+    return some.withColumn("t", F.struct(F.xxhash64("text").alias("a"), F.xxhash64("text", F.lit(7)).alias("b")))
+
+
+def text_words(texts: DataFrame) -> DataFrame:
+    """(t, word): the distinct words with characters beyond ASCII of each text."""
+    return texts.select("t", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))).alias("word")).distinct()
 
 
-def affected(df: DataFrame, key: str, fields: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(fields, words): fields has (key, field, chain, n_words, n_known), chain null where no word's
-    original is known; words has (k, field, word, chain, original) for all matches that count."""
-    spark = ship(df.sparkSession)
-    words = cut(field_words(df, key, fields), "words")
-    vocabulary = words.select("word", "t").distinct().groupBy("word").agg(F.count("*").alias("n"))  # copies of a text count once
+def _salted(many: DataFrame, few: DataFrame, on: list[str], salt: Column, how: str = "inner") -> DataFrame:
+    """A join with each row of ``few`` under every salt: a key that most rows of ``many`` have is ``SALT`` tasks' work."""
+    return many.withColumn("salt", salt).join(few.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1)))), [*on, "salt"], how).drop("salt")
+
+
+def _matches(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(texts, words) of affected texts: (t, chain, n_known, n_words) and (t, word, original) along the chain."""
+    words = cut(text_words(texts), "words")
+    vocabulary = words.groupBy("word").agg(F.count("*").alias("n"))  # copies of a text count once
     forms = _forms_table(vocabulary).join(vocabulary.select(F.col("word").alias("form"), F.col("n").alias("n_form")), "form")
     # the forms that occur: far fewer than all forms, as the vocabulary holds them already
     plain, odd = lambda c: F.col(c).rlike(_PLAIN), lambda c: F.col(c).rlike(_PLAIN).cast("int") * 2 + F.col(c).rlike(_FEW).cast("int")
     table = cut(forms.withColumns({"sign": odd("form") - odd("original"), "sure": plain("form") & ~plain("original")}), "forms")
-    salted = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
-    hits = (
-        words.withColumn("salt", F.expr(f"cast(pmod(xxhash64(k), {SALT}) as int)"))
-        .join(salted.withColumnRenamed("form", "word"), ["word", "salt"])
-        .select("k", "field", "word", "chain", "kind", "original", "n_original", "n_form", "sign", "sure")
-        .distinct()
-    )
+    few = table.withColumnRenamed("form", "word")
+    if table.count() > BROADCAST_FORMS:  # its size in memory is not that of its file, by which the optimizer would judge
+        few = few.hint("shuffle_hash")
+    hits = _salted(words, few, ["word"], F.pmod(F.col("t.a"), F.lit(SALT)).cast("int")).select("t", "word", "chain", "kind", "original", "n_original", "n_form", "sign", "sure").distinct()
     beyond = F.length(F.regexp_replace("word", r"[\x00-\x7F’‘“”–—…]", ""))
-    per_chain = hits.groupBy("k", "field", "chain", "kind").agg(
-        F.collect_list(F.struct("word", "original", "n_original")).alias("found"), F.count_distinct("word").alias("n_words"), F.max(beyond).alias("longest"), F.sum("sign").alias("sign"), F.sum("n_original").alias("n_o"), F.sum("n_form").alias("n_f"), F.max("sure").alias("sure")
+    per_chain = hits.groupBy("t", "chain", "kind").agg(
+        F.collect_list(F.struct("word", "original")).alias("found"), F.count_distinct("word").alias("n_words"), F.max(beyond).alias("longest"), F.sum("sign").alias("sign"), F.sum("n_original").alias("n_o"), F.sum("n_form").alias("n_f"), F.max("sure").alias("sure")
     )
     counted = cut(per_chain.where("kind != 'swap' or (sign > 0 or sign = 0 and n_o > n_f) and (n_words >= 2 or longest >= 4 or sure)"), "hits")
-    best = counted.groupBy("k", "field").agg(F.max_by("chain", F.struct("n_words", F.col("kind") != "swap", "chain")).alias("chain"), F.max("n_words").alias("n_known"))
+    best = counted.groupBy("t").agg(F.max_by("chain", F.struct("n_words", F.col("kind") != "swap", "chain")).alias("chain"), F.max("n_words").alias("n_known"))
     # exact check: characters that only a wrong decoding leaves
-    proof = words.where(F.col("word").rlike(_PROOF)).groupBy("k", "field").agg(F.count("*").alias("n_proof"))
-    every = best.join(proof, ["k", "field"], "full").select(
-        F.col("k").alias(key), "field", "chain", F.coalesce("n_known", F.lit(0)).alias("n_known"), F.greatest(F.coalesce("n_known", F.lit(0)), F.coalesce("n_proof", F.lit(0))).alias("n_words")
-    )
-    chosen = counted.join(best.select("k", "field", "chain"), ["k", "field", "chain"]).select("k", "field", "chain", F.explode("found").alias("f")).select("k", "field", "chain", "f.*")
+    proof = words.where(F.col("word").rlike(_PROOF)).groupBy("t").agg(F.count("*").alias("n_proof"))
+    every = best.join(proof, "t", "full").select("t", "chain", F.coalesce("n_known", F.lit(0)).alias("n_known"), F.greatest(F.coalesce("n_known", F.lit(0)), F.coalesce("n_proof", F.lit(0))).alias("n_words"))
+    chosen = counted.join(best.select("t", "chain"), ["t", "chain"]).select("t", F.explode("found").alias("f")).select("t", "f.*")
     return every, chosen
 
 
+def affected(df: DataFrame, key: str, fields: list[str]) -> DataFrame:
+    """(key, field, chain, n_known, n_words): the affected fields, chain null where no word's original is known."""
+    ship(df.sparkSession)
+    texts = texts_of(df, key, fields)
+    every, _ = _matches(texts)
+    where = texts.select("k", "field", "t").distinct()
+    return _salted(where, every, ["t"], _spread("k")).drop("t").withColumnRenamed("k", key)
+
+
+def _spread(c: str) -> Column:
+    return F.pmod(F.xxhash64(c), F.lit(SALT)).cast("int")
+
+
 def restored(df: DataFrame, key: str, fields: list[str]) -> DataFrame:
     """(key, field, chain, text, fixed, restored): the affected fields, with every word that has one
     verified original put back; ``restored`` is true where nothing garbled is known to be left."""
-    every, chosen = affected(df, key, fields)
-    # one original for each garbled word of a field; the more frequent of words that differ only in
+    ship(df.sparkSession)
+    texts = texts_of(df, key, fields)
+    every, chosen = _matches(texts)
+    # one original for each garbled word of a text; the more frequent of words that differ only in
     # lost characters isn't verified, so such words stay
-    known = chosen.groupBy("k", "field", "word").agg(F.count_distinct("original").alias("n"), F.min("original").alias("original"))
-    maps = known.groupBy("k", "field").agg(F.collect_list(F.when(F.col("n") == 1, F.struct("word", "original"))).alias("pairs"), F.count_if(F.col("n") > 1).alias("open"))
-    each = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), df[f].cast("string").alias("text")) for f in fields]))
-    texts = df.select(df[key].alias("k"), each.alias("e")).select("k", "e.*").where(F.octet_length("text") > F.char_length("text")).dropDuplicates(["k", "field", "text"])
-    found = texts.join(every.select(F.col(key).alias("k"), "field", "chain"), ["k", "field"]).join(maps, ["k", "field"], "left")
+    known = chosen.groupBy("t", "word").agg(F.count_distinct("original").alias("n"), F.min("original").alias("original"))
+    maps = known.groupBy("t").agg(F.collect_list(F.when(F.col("n") == 1, F.struct("word", "original"))).alias("pairs"), F.count_if(F.col("n") > 1).alias("open"))
+    found = _salted(texts.dropDuplicates(["k", "field", "t"]), every.select("t", "chain").join(maps, "t", "left"), ["t"], _spread("k"))
     kept = found.select("k", "field", "chain", "text", "pairs", F.coalesce("open", F.lit(1)).alias("open"))
     kind = dict(kept.dtypes)["k"]
 

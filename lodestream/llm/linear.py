@@ -34,7 +34,13 @@ class Rows:
         return Rows(self.idx[keep], self.val[keep], np.cumsum(own) - own)
 
     def and_(self, other: Rows) -> Rows:
-        return Rows(np.concatenate([self.idx, other.idx]), np.concatenate([self.val, other.val]), np.concatenate([self.starts, other.starts + len(self.idx)]))
+        return joined([self, other])
+
+
+def joined(parts: list[Rows]) -> Rows:
+    """All rows, one part after the other."""
+    before = np.cumsum([0] + [len(p.idx) for p in parts])
+    return Rows(*(np.concatenate([getattr(p, f) for p in parts]) for f in ("idx", "val")), np.concatenate([p.starts + b for p, b in zip(parts, before)]))
 
 
 def rows(lists: list, dim: int) -> Rows:

@@ -29,7 +29,7 @@ def p2_groups(spark, d):
 
 
 def p3_found(spark, d):
-    return encodings.affected(table(spark, d, "posts"), "post_id", ["title", "body"])[0].select("post_id", "field")
+    return encodings.affected(table(spark, d, "posts"), "post_id", ["title", "body"]).select("post_id", "field").distinct()
 
 
 def p3_restored(spark, d):

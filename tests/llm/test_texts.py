@@ -21,12 +21,23 @@ def test_affected_fields_and_their_originals(spark):
     rows = [(f"c{i}{k}", t, "plain") for i, t in enumerate(CLEAN) for k in range(3)] + [(f"g{i}", "plain ascii", f"{t} and more") for i, t in enumerate(garbled)]
     rows += [("n", None, None), ("e", "", "  "), ("g0", "plain ascii", f"{garbled[0]} and more")]
     df = _posts(spark, rows)
-    every, _ = encodings.affected(df, "post_id", ["title", "body"])
+    every = encodings.affected(df, "post_id", ["title", "body"])
     assert sorted((r["post_id"], r["field"]) for r in every.collect()) == [(f"g{i}", "body") for i in range(4)]
     fixed = {r["post_id"]: (r["fixed"], r["restored"]) for r in encodings.restored(df, "post_id", ["title", "body"]).collect()}
     for i, c in enumerate((CLEAN[0], CLEAN[1], CLEAN[2])):
         assert fixed[f"g{i}"] == (f"{c} and more", True)
-    assert encodings.affected(df.limit(0), "post_id", ["title"])[0].count() == 0
+    assert encodings.affected(df.limit(0), "post_id", ["title"]).count() == 0
+    # repeated records and null keys: a row for each text of a field
+    twice = _posts(spark, rows + [(None, "x", garbled[0]), (None, "x", garbled[1]), (None, "x", garbled[1])])
+    got = [(r["post_id"], r["fixed"]) for r in encodings.restored(twice, "post_id", ["title", "body"]).where("post_id is null").collect()]
+    assert sorted(got) == sorted([(None, CLEAN[0]), (None, CLEAN[1])])
+
+
+def test_accents_of_one_alphabet_are_no_proof(spark):
+    right = ["Sooo müüüüüde und kaputt", "ÄÖÜÄÖ Umlaute sind toll", "très créééééé", "ÄÖÜäöüß", "Příliš žluťoučký kůň"]
+    wrong = ["Ïðèâåò", "ñåãîäíÿ âå÷åðîì", "abc \ufffd\ufffd def", "x \x81y"]
+    df = _posts(spark, [(f"r{i}", t, None) for i, t in enumerate(right)] + [(f"w{i}", t, None) for i, t in enumerate(wrong)])
+    assert {r["post_id"] for r in encodings.affected(df, "post_id", ["title", "body"]).collect()} == {f"w{i}" for i in range(len(wrong))}
 
 
 def test_direction_of_swaps(spark):
@@ -35,7 +46,7 @@ def test_direction_of_swaps(spark):
     rows += [(f"h{i}", "x", bad(CLEAN[2], "cp1251", "latin_1")) for i in range(9)]  # one text, copied
     rows += [(f"d{i}", "x", bad(CLEAN[1], "cp1252", "mac_roman") + f" {i}") for i in range(4)] + [("c3", "x", CLEAN[1])]  # more texts than the original has
     rows += [("t0", "x", bad("Mutter möchte Übung später", "cp1252", "cp1251")), ("s0", bad("mañana", "cp1252", "mac_roman") + " again", "x")]
-    got = sorted((r["post_id"], r["field"]) for r in encodings.affected(_posts(spark, rows), "post_id", ["title", "body"])[0].collect())
+    got = sorted((r["post_id"], r["field"]) for r in encodings.affected(_posts(spark, rows), "post_id", ["title", "body"]).collect())
     assert got == sorted([(f"h{i}", "body") for i in range(9)] + [(f"d{i}", "body") for i in range(4)] + [("t0", "body"), ("s0", "title")])
 
 
