@@ -79,8 +79,22 @@ def test_consensus_edges(spark):
     rows = [(1, "a", 1, "YES"), (1, "b", 1, "NO"), (1, "c", 1, "YES"), (2, "a", 1, "INVALID"), (3, "a", None, None), (None, "a", 1, "NO"), (4, None, 1, "NO"), (5, "a", 1, "NO"), (5, "b", 1, "YES")]
     items, annotators = consensus.consensus(spark.createDataFrame(rows, schema), "case_id", "model", "run_id", "d")
     assert {r["case_id"]: r["decision"] for r in items.collect()} == {1: "YES", 5: "YES"}  # plain votes; a tie goes to the first label
-    with pytest.raises(ValueError):
-        consensus.consensus(spark.createDataFrame(rows, schema), "case_id", "model", "run_id", "d", max_annotators=2)
+
+
+def test_annotators_outside_the_core_are_judged_alike(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    accuracy = {"good": 0.92, "fine": 0.85, "so": 0.6, "liar": 0.1, "coin": 1 / 3, "more": 0.75}
+    truth, rows = _votes(rng, 1500, accuracy)
+    rows = [r for r in rows if r[1] != "more" or r[0] % 3 == 0] + [(0, "rare", 1, "YES")]
+    df = spark.createDataFrame(rows, "case_id int, model string, run_id int, d string")
+    whole, every = consensus.consensus(df, "case_id", "model", "run_id", "d")
+    part, some = consensus.consensus(df, "case_id", "model", "run_id", "d", core=4)
+    assert {r["model"]: r["accuracy"] for r in some.collect()} == pytest.approx({r["model"]: r["accuracy"] for r in every.collect()}, abs=0.06)
+    a, b = ({r["case_id"]: r["decision"] for r in x.collect()} for x in (whole, part))
+    assert np.mean([a[k] == b[k] for k in a]) > 0.97
+    monkeypatch.setattr(consensus, "BROADCAST_ANNOTATORS", 1)  # the salted join gives the same
+    salted, _ = consensus.consensus(df, "case_id", "model", "run_id", "d")
+    assert {r["case_id"]: (r["decision"], r["n_votes"]) for r in salted.collect()} == {r["case_id"]: (r["decision"], r["n_votes"]) for r in whole.collect()}
 
 
 # ---- mixing
@@ -88,8 +102,25 @@ def test_consensus_edges(spark):
 
 def test_splitting_tree_is_exact():
     q = np.array([7, 100, 0, 13])
-    out = mixing.splitting_tree(q, 6, 3)
+    out = np.array([x for _, _, x in mixing.splitting_tree(q, 6, 3)])
     assert (out.sum(0) == q).all() and out.sum(1).max() - out.sum(1).min() <= 2 and (out >= 0).all()
+    # gone down in steps it is the same tree
+    steps = [leaf for lo, hi, own in mixing.splitting_tree(q, 6, 3, least=3) for leaf in mixing.splitting_tree(own, hi, 3, lo, hi)]
+    assert [(lo, hi) for lo, hi, _ in steps] == [(i, i + 1) for i in range(6)] and (np.array([x for _, _, x in steps]) == out).all()
+
+
+def test_draws_of_any_size_have_the_right_distribution():
+    rng = np.random.default_rng(5)
+    for good, bad, draws in ((3 * 10**9, 10**9, 10**6), (5 * 10**12, 2 * 10**13, 10**13), (10**10, 5, 7 * 10**9), (7, 10**10, 10**10 - 3)):
+        got = np.array([mixing._hypergeometric(rng, good, bad, draws) for _ in range(60)], float)
+        assert (got >= max(0, draws - bad)).all() and (got <= min(good, draws)).all()
+        p = good / (good + bad)
+        sd = np.sqrt(draws * p * (1 - p) * (good + bad - draws) / (good + bad - 1))
+        assert abs(got.mean() - draws * p) <= 5 * sd / np.sqrt(60) + 1
+    # just where numpy still draws, too, both have the same mean and spread
+    theirs = rng.hypergeometric(4 * 10**8, 5 * 10**8, 10**5, 400).astype(float)
+    ours = np.array([mixing._hypergeometric(rng, 4 * 10**9, 5 * 10**9, 10**5) for _ in range(400)], float)
+    assert abs(theirs.mean() - ours.mean()) < 40 and 0.8 < theirs.std() / ours.std() < 1.25
 
 
 @pytest.fixture(scope="module")
@@ -123,5 +154,8 @@ def test_mix_is_the_same_again_and_empty_tables_work(spark, mixed):
     docs, (records, _), targets = mixed
     again, _ = mixing.mix(docs.repartition(5), targets, "doc_id", "text", "source", block_tokens=200, shard_tokens=800)
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, records.collect()))
+    for ranges, top in ((1, 1), (7, 3)):  # neither ranges of the permutation nor the driver's part of the tree matter
+        other, _ = mixing.mix(docs, targets, "doc_id", "text", "source", block_tokens=200, shard_tokens=800, range_blocks=ranges, top_nodes=top)
+        assert sorted(map(tuple, other.collect())) == sorted(map(tuple, records.collect()))
     records, report = mixing.mix(docs.limit(0), targets, "doc_id", "text", "source")
     assert records.count() == 0 and report.agg(F.sum("tokens")).first()[0] == 0
