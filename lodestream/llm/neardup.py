@@ -6,7 +6,7 @@ at least ``threshold``. The join is exact: candidates come from signatures that
 avoid sharing, and are then verified on the tokens.
 
 Signatures. Tokens have one global order, rare before frequent, by counts over all texts in a sketch
-of fixed size (an estimate: the order only steers cost, never the result). Each token belongs to a
+whose size follows the number of tokens up to 16 MB (an estimate: the order only steers cost, never the result). Each token belongs to a
 class by its frequency, and to a group of its class by a hash. A rare token is a signature by itself;
 of frequent classes the combinations of 2 or 3 tokens of one group are. Of a text's n tokens in that
 order a prefix is taken. If a linked pair shared no signature, it would share less than k tokens of
@@ -22,7 +22,9 @@ and a parity bitmap of all its tokens. The part comes from a hash of the combina
 and there are more parts as there are more texts, so that one task handles a bounded number. The
 combinations are made, sorted and compared inside the task, in numpy, in slices of bounded size; the
 bits in which two bitmaps differ are a lower bound of the tokens in which the texts differ, so most
-pairs end there and are never written. Nothing is capped or dropped.
+pairs end there and are never written. A combination of more than ``HOT_RUN`` texts (a sentence that a
+million texts share) is not compared in its task: its texts, sorted by size, are cut into blocks, and pairs of blocks whose
+sizes can match at all are compared in tasks of their own. Nothing is capped or dropped.
 
 Texts with the same tokens form a class, and only classes are joined, so copies cost nothing; pairs of
 texts are expanded at the end, where they are asked for (:func:`pairs`); :func:`groups` gives one
@@ -49,7 +51,10 @@ from pyspark.sql import functions as F
 from lodestream.plans.runtime import cut, forget, ship
 
 WIDTH, THRESHOLD = 5, 0.8
-SKETCH_BITS = 22
+#: Cells of the sketch of frequencies: one for each ``TOKENS_PER_CELL`` tokens, within these bounds.
+SKETCH_BITS, MOST_SKETCH_BITS, TOKENS_PER_CELL = 22, 24, 8
+#: Texts with one combination that are compared in the task that finds them; more are compared in blocks of so many.
+HOT_RUN = 20_000
 #: Tokens of at most so many texts are single signatures, of at most so many pairs; others triples.
 SINGLE_UP_TO, PAIR_UP_TO = 8, 64
 #: Bands of sizes are powers of 2 and of single tokens only below this, and grow by 4 from it.
@@ -114,32 +119,34 @@ def _sets(df: DataFrame, key: str, text: str, width: int) -> DataFrame:
     return rows.mapInArrow(run, f"k {kind}, c bigint, n int, tokens binary")
 
 
-def _frequencies(classes: DataFrame) -> np.ndarray:
-    """Estimated number of texts of each sketch cell, as 2 * log2 (bytes): a table of fixed size."""
+def _frequencies(classes: DataFrame, n_tokens: int) -> np.ndarray:
+    """Estimated number of texts of each sketch cell, as 2 * log2 (bytes): at most 16 MB."""
+    bits = int(min(MOST_SKETCH_BITS, max(SKETCH_BITS, math.ceil(math.log2(max(1, n_tokens / TOKENS_PER_CELL))))))
+    span = 1 << (bits - 5)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << SKETCH_BITS, np.uint32)
+        counts = np.zeros(1 << bits, np.uint32)
         for b in batches:
             for t in b.column(0).to_pylist():
-                counts[np.frombuffer(t, np.uint32) & np.uint32((1 << SKETCH_BITS) - 1)] += np.uint32(1)
+                counts[np.frombuffer(t, np.uint32) & np.uint32((1 << bits) - 1)] += np.uint32(1)
         cells = np.flatnonzero(counts).astype(np.int32)
-        part = cells >> (SKETCH_BITS - 5)
-        for p in np.unique(part):
+        part = cells >> (bits - 5)
+        for p in range(32):
             c = cells[part == p]
-            yield pa.RecordBatch.from_arrays([pa.array([int(p)], pa.int32()), pa.array([c.tobytes()], pa.binary()), pa.array([counts[c].tobytes()], pa.binary())], ["part", "cells", "counts"])
+            if len(c):
+                yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([c.tobytes()], pa.binary()), pa.array([counts[c].tobytes()], pa.binary())], ["part", "cells", "counts"])
 
     def add(t):
-        total = np.zeros(1 << SKETCH_BITS, np.int64)
-        for p, c, n in zip(t.column(0).to_pylist(), t.column(1).to_pylist(), t.column(2).to_pylist()):
-            total[np.frombuffer(c, np.int32)] += np.frombuffer(n, np.uint32)
-        span = 1 << (SKETCH_BITS - 5)
-        level = np.ceil(2 * np.log2(np.maximum(total[p * span : (p + 1) * span], 1))).astype(np.uint8)
+        p = t.column(0)[0].as_py()
+        total = np.zeros(span, np.int64)
+        for c, n in zip(t.column(1).to_pylist(), t.column(2).to_pylist()):
+            total[np.frombuffer(c, np.int32) - p * span] += np.frombuffer(n, np.uint32)
+        level = np.ceil(2 * np.log2(np.maximum(total, 1))).astype(np.uint8)
         return pa.Table.from_arrays([pa.array([p], pa.int32()), pa.array([level.tobytes()], pa.binary())], ["part", "levels"])
 
     made = classes.select("tokens").mapInArrow(run, "part int, cells binary, counts binary")
-    levels = np.zeros(1 << SKETCH_BITS, np.uint8)
-    span = 1 << (SKETCH_BITS - 5)
-    for r in made.groupBy("part").applyInArrow(add, "part int, levels binary").collect():  # 32 rows, 4 MB in all
+    levels = np.zeros(1 << bits, np.uint8)
+    for r in made.groupBy("part").applyInArrow(add, "part int, levels binary").collect():  # 32 rows
         levels[r["part"] * span : (r["part"] + 1) * span] = np.frombuffer(r["levels"], np.uint8)
     return levels
 
@@ -205,7 +212,7 @@ def _deal(sets: list[np.ndarray], levels: np.ndarray, scheme: Scheme, n_parts: i
         doc = np.repeat(np.arange(len(texts)), n)
         tokens = np.concatenate([sets[i] for i in texts])
         bitmaps = _bitmaps(doc, tokens, len(texts), _words(int(scheme.starts[band])))
-        level = levels[tokens & np.uint32((1 << SKETCH_BITS) - 1)]
+        level = levels[tokens & np.uint32(len(levels) - 1)]
         mixed = _mix(tokens)
         m = scheme.triple_groups(int(band))
         if m:
@@ -281,15 +288,38 @@ def _combinations(flat, start, length, k: int, slices: int, nth: int, part: int,
     return np.concatenate(sigs), np.concatenate(rows)
 
 
-def _matches(ids, sizes, bitmaps, flat, length, k: int, scheme: Scheme, band: int, part: int, n_parts: int):
+def _similar(a, b, sizes_a, sizes_b, maps_a, maps_b, scheme: Scheme):
+    """Of pairs of rows (a of one set, b of another) those that pass the bounds on size and bitmaps."""
+    sa, sb = sizes_a[a], sizes_b[b]
+    ok = np.minimum(sa, sb) >= scheme.t * np.maximum(sa, sb) - 1e-9
+    a, b, both = a[ok], b[ok], (sa + sb)[ok]
+    slack = (both - 2 * np.ceil(both * (scheme.t / (1 + scheme.t)) - 1e-9)).astype(np.int32)
+    half = maps_a.shape[1] // 2
+    for cols in (range(half), range(half, maps_a.shape[1])):  # most pairs end at the first half
+        bits = np.zeros(len(a), np.int32)
+        for w in cols:
+            bits += np.bitwise_count(maps_a[a, w] ^ maps_b[b, w])
+        slack = slack - bits
+        ok = slack >= 0
+        a, b, slack = a[ok], b[ok], slack[ok]
+    return a, b
+
+
+def _ordered(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Distinct pairs of numbers, the smaller first."""
+    return np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)]), axis=1)
+
+
+def _matches(ids, sizes, bitmaps, flat, length, k: int, scheme: Scheme, band: int, part: int, n_parts: int, hot: list, hot_run: int):
     """Pairs of rows that share a combination of k tokens and pass the bounds on size and bitmaps.
-    Of each pair the smaller text is in the band: pairs of larger ones are made in their own."""
+    Of each pair the smaller text is in the band: pairs of larger ones are made in their own. The rows of each different
+    run of more than ``hot_run`` are put into ``hot`` instead of being compared."""
     start = np.cumsum(length, dtype=np.int64) - length
     large = (sizes >= scheme.bounds(band)[1]).astype(np.uint64)
     if large.all():
         return
-    share = scheme.t / (1 + scheme.t)
     slices = max(1, math.ceil(len(ids) / TEXTS_PER_SLICE))
+    known = set()
     for nth in range(slices):
         s, r = _combinations(flat, start, length, k, slices, nth, part, n_parts)
         s = (s & ~np.uint64(1)) | large[r]  # larger texts after those of the band
@@ -298,6 +328,13 @@ def _matches(ids, sizes, bitmaps, flat, length, k: int, scheme: Scheme, band: in
         key = s >> np.uint64(1)
         begin = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
         n = np.diff(np.r_[begin, len(key)])
+        for at in np.flatnonzero(n > hot_run):
+            rows = np.unique(r[begin[at] : begin[at] + n[at]])
+            digest = xxhash.xxh3_128_digest(rows.tobytes())  # the combinations of one sentence have the same texts
+            if digest not in known:
+                known.add(digest)
+                hot.append(rows)
+        begin, n = begin[n <= hot_run], n[n <= hot_run]
         begin, n = begin[n > 1], n[n > 1]
         # each entry of the band is paired with those after it in its run, in slices of bounded size
         entry = np.repeat(begin, n) + _ramp(n)
@@ -311,31 +348,48 @@ def _matches(ids, sizes, bitmaps, flat, length, k: int, scheme: Scheme, band: in
             x = np.repeat(entry[lo:hi], cnt)
             a, b = r[x], r[x + 1 + _ramp(cnt)]
             lo = hi
-            ok = (a != b) & (np.minimum(sizes[a], sizes[b]) >= scheme.t * np.maximum(sizes[a], sizes[b]) - 1e-9)
-            a, b = a[ok], b[ok]
-            both = sizes[a] + sizes[b]
-            slack = (both - 2 * np.ceil(both * share - 1e-9)).astype(np.int32)
-            half = bitmaps.shape[1] // 2
-            for cols in (range(half), range(half, bitmaps.shape[1])):  # most pairs end at the first half
-                bits = np.zeros(len(a), np.int32)
-                for w in cols:
-                    bits += np.bitwise_count(bitmaps[a, w] ^ bitmaps[b, w])
-                slack = slack - bits
-                ok = slack >= 0
-                a, b, slack = a[ok], b[ok], slack[ok]
-            yield np.unique(np.stack([np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b])]), axis=1)
+            ok = a != b
+            a, b = _similar(a[ok], b[ok], sizes, sizes, bitmaps, bitmaps, scheme)
+            yield _ordered(ids[a], ids[b])
+
+
+def _blocks(rows: np.ndarray, sizes: np.ndarray, scheme: Scheme, size: int) -> list[tuple[np.ndarray, list[int]]]:
+    """A run's rows by size in blocks of ``size``, each with the later blocks (and itself) that it may match."""
+    rows = rows[np.argsort(sizes[rows], kind="stable")]
+    parts = [rows[i : i + size] for i in range(0, len(rows), size)]
+    top = [int(sizes[p[-1]]) for p in parts]
+    return [(p, [j for j in range(i, len(parts)) if top[i] >= scheme.t * sizes[parts[j][0]] - 1e-9]) for i, p in enumerate(parts)]
+
+
+def _block_pairs(x: tuple, y: tuple | None, scheme: Scheme, band: int):
+    """Pairs between two blocks (ids, sizes, bitmaps), or within one, of which the smaller text is in the band."""
+    same = y is None
+    y = x if same else y
+    beyond = scheme.bounds(band)[1]
+    step = max(1, PAIRS_AT_A_TIME // max(1, len(y[0])))
+    for lo in range(0, len(x[0]), step):
+        a = np.repeat(np.arange(lo, min(lo + step, len(x[0]))), len(y[0]))
+        b = np.tile(np.arange(len(y[0])), len(a) // len(y[0]))
+        ok = (a < b) if same else np.ones(len(a), bool)
+        ok &= (x[1][a] < beyond) | (y[1][b] < beyond)
+        a, b = _similar(a[ok], b[ok], x[1], y[1], x[2], y[2], scheme)
+        ok = x[0][a] != y[0][b]
+        yield _ordered(x[0][a[ok]], y[0][b[ok]])
 
 
 def class_pairs(classes: DataFrame, threshold: float) -> DataFrame:
     """(a, b), a < b: candidates among the classes (c, n, tokens), each once."""
     spark = classes.sparkSession
-    scheme, levels = Scheme(threshold), _frequencies(classes)
+    scheme = Scheme(threshold)
     edges = [int(x) for x in scheme.starts]
     band_of = F.size(F.filter(F.array(*[F.lit(x) for x in edges]), lambda x: x <= F.col("n"))) - 1
-    counts = {r["band"]: r["count"] for r in classes.groupBy(band_of.alias("band")).count().collect()}  # a row for each band
+    seen = classes.groupBy(band_of.alias("band")).agg(F.count("*").alias("count"), F.sum("n").alias("tokens")).collect()  # a row for each band
+    counts = {r["band"]: r["count"] for r in seen}
+    levels = _frequencies(classes, sum(r["tokens"] for r in seen))
     taken = np.array([b in counts for b in range(len(edges))])
     n_parts = 1 << max(0, math.ceil(math.log2(max(1, sum(counts.values()) / TEXTS_PER_PART))))
-    shared = spark.sparkContext.broadcast(levels)  # 4 MB at every size of input
+    shared = spark.sparkContext.broadcast(levels)  # at most 16 MB
+    hot_run = HOT_RUN
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lv = shared.value
@@ -361,12 +415,37 @@ def class_pairs(classes: DataFrame, threshold: float) -> DataFrame:
         words = _words(int(scheme.starts[band]))
         whole = {i: np.concatenate(cols.pop(i)) for i in kinds}
         maps = whole.pop(5).reshape(-1, words)
-        for a, b in _matches(whole[3], whole[4], maps, whole[7], whole[6], min(group + 1, 3), scheme, band, part, n_parts):
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+        ids, sizes, hot = whole[3], whole[4], []
+        for a, b in _matches(ids, sizes, maps, whole[7], whole[6], min(group + 1, 3), scheme, band, part, n_parts, hot, hot_run):
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), *[pa.nulls(len(a), f.type) for f in hot_fields]], names)
+        for run, rows in enumerate(hot):
+            name = f"{band} {group} {part} {run}"
+            for i, (own, with_) in enumerate(_blocks(rows, sizes, scheme, hot_run)):
+                # a block is written once; what pairs it takes part in follows from its number and the list
+                row = [None, None, band, name, i, with_, ids[own].tobytes(), sizes[own].astype(np.int32).tobytes(), maps[own].tobytes()]
+                yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, [pa.int64(), pa.int64(), *[f.type for f in hot_fields]])], names)
+
+    hot_fields = [pa.field("band", pa.int32()), pa.field("run", pa.string()), pa.field("block", pa.int32()), pa.field("with_", pa.list_(pa.int32())), pa.field("ids", pa.binary()), pa.field("sizes", pa.binary()), pa.field("maps", pa.binary())]
+    names = ["a", "b", *[f.name for f in hot_fields]]
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted((r for b in batches for r in b.to_pylist()), key=lambda r: r["block"])
+        if rows:
+            words = _words(int(scheme.starts[rows[0]["band"]]))
+            blocks = [(np.frombuffer(r["ids"], np.int64), np.frombuffer(r["sizes"], np.int32), np.frombuffer(r["maps"], np.uint64).reshape(-1, words)) for r in rows]
+            for a, b in _block_pairs(blocks[0], blocks[1] if len(blocks) > 1 else None, scheme, rows[0]["band"]):
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
     dealt = classes.select("c", "tokens").mapInArrow(deal, "band int, grp int, part int, ids binary, sizes binary, maps binary, lens binary, tokens binary")
-    found = dealt.groupBy("band", "grp", "part").applyInArrow(match, "a bigint, b bigint")
-    return found.distinct()
+    found = cut(dealt.groupBy("band", "grp", "part").applyInArrow(match, "a bigint, b bigint, band int, run string, block int, with_ array<int>, ids binary, sizes binary, maps binary"), "matches")
+    pairs = found.where("a is not null").select("a", "b")
+    blocks = found.where("run is not null").select("band", "run", "block", "with_", "ids", "sizes", "maps")
+    # a block goes to the pairs that its own list names, and to those of the lists of earlier blocks
+    lists = blocks.select("run", F.col("block").alias("i"), F.explode("with_").alias("j"))
+    sides = lists.select("run", "i", "j", F.col("i").alias("block")).union(lists.where("i <> j").select("run", "i", "j", F.col("j").alias("block")))
+    work = blocks.drop("with_").join(sides, ["run", "block"])
+    more = work.groupBy("run", "i", "j").applyInArrow(compare, "a bigint, b bigint")
+    return pairs.unionByName(more).distinct()
 
 
 def links(df: DataFrame, key: str, text: str, width: int = WIDTH, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:

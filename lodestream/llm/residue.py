@@ -10,15 +10,15 @@ defaults in one segment are slots that all kept theirs.
 Page templates: a segment (a line or sentence) of any body, however long, is keyed by its words up to its
 first sign of residue, with numbers, ids and paths masked. Signs are slots that hold ids or paths of a machine,
 control tags of a template and the wording of errors, notices and stand-ins (a fixed list). A writer who
-speaks of themselves before it tells of an error, and gives no key. A key that is in at least
-``MIN_PAGES`` different texts (copies of a text are one) is of a template, and flags every body with it, as its
+speaks of themselves before it tells of an error, and gives no key. A key that is in several
+different texts (copies of a text are one) is of a template, and flags every body with it, as its
 whole or as a part. Text of filler words only, or of one word over and over, is flagged by itself.
 
 One pass cuts the bodies into keys and candidate values; counts of keys and frames are plain
 aggregations; the flagged keys (a small table, never forced into a broadcast) are joined back.
 
 Defined results: null, empty and blank bodies and the platform's own marks are never flagged; of a
-record written twice one row comes out; with fewer than ``MIN_PAGES`` records of a kind nothing can be
+record written twice one row comes out; with one record of a kind nothing can be
 aligned, so only fillers and segments with several defaults are flagged. A page without ids, paths and
 listed wording is not found.
 """
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from lodestream.plans.runtime import cut, ship
 
-MIN_PAGES, MIN_WORDS = 2, 4
+MIN_WORDS, SALT = 4, 16
 # What platforms put in place of a body.
 PLATFORM_MARKS = frozenset(("[removed]", "[deleted]", "[deleted by user]", "[removed by moderator]"))
 # Words of the usual filler texts and of keyboards tried out.
@@ -45,11 +45,11 @@ FILLER_WORDS = frozenset(
 _FUNCTION = frozenset("do in id est et ad ex ea non sit sed ut qui a ac vel nec test bar sint".split())
 
 _VALUE = re.compile(
-    r"""\{\{\s*(?P<a>[^{}\n]{1,40}?)\s*\}\}|\$\{\s*(?P<b>[^{}\n]{1,40}?)\s*\}|\#\{\s*(?P<c>[^{}\n]{1,40}?)\s*\}|<%=?\s*(?P<d>[^%<>\n]{1,40}?)\s*%>|@@(?P<e>[\w.\- ]{1,40}?)@@
-    |%\((?P<f>[\w.]{1,40})\)[sdif]|\[\[\s*(?P<g>[^\[\]\n]{1,40}?)\s*\]\]|__(?P<h>[A-Za-z][\w.]{0,40}?)__|\$(?P<i>[A-Z][A-Z_.]{2,40})\$|%(?P<j>[A-Z][A-Z_.]{2,40})%
-    |\[object\ (?P<o>Object)\]|<(?:INSERT|ENTER|YOUR|ADD)[ _](?P<k>[^<>\n]{1,40})>|<(?P<l>[A-Z][A-Z_ ]{2,40})>|\[(?P<m>[^\[\]()\n]{2,40})\](?!\()|\((?:insert|enter|your|add)\ (?P<n>[^()\n]{1,40})\)
-    |\{%-?\s*(?:(?:if|for|unless|elif|with|include)\ )?(?P<t>[\w.\- ]{1,40}?)\s*-?%\}
-    |\{(?P<p>[^{}\n"':]{1,40})\}|(?P<q>%[sd])(?![\w%])|\b(?P<r>undefined|NaN|null|None|nil|TBD|TBA|FIXME|XXX+)\b|(?P<s>_{3,})""",
+    r"""\{\{\s*(?P<a>[^{}\n]{1,200}?)\s*\}\}|\$\{\s*(?P<b>[^{}\n]{1,200}?)\s*\}|\#\{\s*(?P<c>[^{}\n]{1,200}?)\s*\}|<%=?\s*(?P<d>[^%<>\n]{1,200}?)\s*%>|@@(?P<e>[\w.\- ]{1,200}?)@@
+    |%\((?P<f>[\w.]{1,200})\)[sdif]|\[\[\s*(?P<g>[^\[\]\n]{1,200}?)\s*\]\]|__(?P<h>[A-Za-z][\w.]{0,200}?)__|\$(?P<i>[A-Z][A-Z_.]{2,200})\$|%(?P<j>[A-Z][A-Z_.]{2,200})%
+    |\[object\ (?P<o>Object)\]|<(?:INSERT|ENTER|YOUR|ADD)[ _](?P<k>[^<>\n]{1,200})>|<(?P<l>[A-Z][A-Z_ ]{2,200})>|\[(?P<m>[^\[\]()\n]{2,200})\](?!\()|\((?:insert|enter|your|add)\ (?P<n>[^()\n]{1,200})\)
+    |\{%-?\s*(?:(?:if|for|unless|elif|with|include)\ )?(?P<t>[\w.\- ]{1,200}?)\s*-?%\}
+    |\{(?P<p>[^{}\n"':]{1,200})\}|(?P<q>%[sd])(?![\w%])|\b(?P<r>undefined|NaN|null|None|nil|TBD|TBA|FIXME|XXX+)\b|(?P<s>_{3,})""",
     re.X,
 )
 _HINT = re.compile(r"[{}\[\]<@_]|%[\w(]|\$[A-Z{]|\((?:insert|enter|your|add) |undefined|NaN|null|None|nil|TB[DA]|FIXME|XXX")
@@ -103,7 +103,7 @@ def candidates(segment: str) -> list[tuple[str, str, str]]:
         after = _VALUE.sub(" § ", segment[m.end() : m.end() + 40]).split()[:1]
         if syntax not in "qrs":
             plain = value.isdigit() if syntax == "p" else False
-            if not plain and not (_NAME.fullmatch(value) and len(value.split()) <= 4 and len(value) >= 3):
+            if not plain and not (_NAME.fullmatch(value) and len(value.split()) <= 12 and len(value) >= 3):
                 continue
             if syntax == "m" and not (re.match(r"(?:YOUR|INSERT|ENTER|ADD)\b", m.group(syntax)) or m.group(syntax).isupper()):
                 continue
@@ -159,8 +159,11 @@ def residue(df: DataFrame, key: str, text: str) -> DataFrame:
     """(key, page, slots, filler): the records with residue, and which kinds were found."""
     cuts = cut(_cut_up(df, key, text).dropDuplicates(["k", "text"]), "segments")
     each = cuts.select("k", "text", F.explode(F.array_distinct("keys")).alias("key"))
-    pages = cut(each.groupBy("key").agg(F.count_distinct("text").alias("texts")).where(F.col("texts") >= MIN_PAGES).select("key"), "pages")
-    on_page = each.join(pages, "key", "left_semi").select("k", F.lit("page").alias("kind"))
+    # the two smallest texts tell whether there are several, and are put together before the shuffle
+    pages = cut(each.groupBy("key").agg(F.min("text").alias("one"), F.max("text").alias("other")).where("one <> other").select("key"), "pages")
+    # joined by records with each key under every salt: a key that most records have is many tasks' work
+    salt = F.pmod(F.xxhash64("text", "k"), F.lit(SALT)).cast("int")
+    on_page = each.withColumn("salt", salt).join(pages.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1)))), ["key", "salt"], "left_semi").select("k", F.lit("page").alias("kind"))
 
     values = cuts.where(F.size("found") > 0).select("k", F.explode("found").alias("v")).select("k", "v.*")
     slots = values.groupBy("frame").agg(F.count_distinct("value").alias("n_values"), F.count_distinct("k").alias("n_k")).where("n_values >= 2 and n_k >= 2").select("frame")

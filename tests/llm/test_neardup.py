@@ -50,6 +50,20 @@ def test_pairs_equal_brute_force(spark, width, threshold, seed):
     assert got == _brute(rows, width, threshold)
 
 
+@pytest.mark.parametrize("width, threshold, hot", [(3, 0.5, 4), (3, 0.5, 25), (1, 0.6, 2)])
+def test_hot_combinations_in_blocks_lose_nothing(spark, monkeypatch, width, threshold, hot):
+    rng = random.Random(11)
+    shared = " ".join(f"s{i}" for i in range(14))
+    rows = _corpus(9, 160) + [(f"h{i:03d}", shared + " " + " ".join(rng.choice(WORDS) for _ in range(rng.choice([2, 4, 8, 16, 60])))) for i in range(120)]
+    df = spark.createDataFrame(rows, "k string, t string")
+    monkeypatch.setattr(neardup, "HOT_RUN", hot)
+    got = {(r["k_a"], r["k_b"]) for r in neardup.pairs(df, "k", "t", width, threshold).collect()}
+    want = _brute(rows, width, threshold)
+    assert got == want and len(want) > 400
+    monkeypatch.setattr(neardup, "TEXTS_PER_PART", 40)
+    assert {(r["k_a"], r["k_b"]) for r in neardup.pairs(df, "k", "t", width, threshold).collect()} == want
+
+
 def test_parts_and_slices_lose_nothing(spark, monkeypatch):
     rows = _corpus(7, 300)
     df = spark.createDataFrame(rows, "k string, t string")
