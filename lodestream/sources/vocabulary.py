@@ -7,38 +7,66 @@ from dataclasses import dataclass, field
 from lodestream.functions import patterns
 
 
-def _terms(text: str) -> tuple[str, ...]:
-    return tuple(" ".join(t.split()) for t in text.split(",") if t.strip())
-
-
+# fmt: off
 # The default vocabularies, in their order.
 TARGETS = {
-    "acetaminophen": _terms("""acetaminophen, acetominophen, acetaminaphen, tylenol, paracetamol, apap, panadol"""),
-    "ibuprofen": _terms("""ibuprofen, ibuprophen, ibufrofen, ibufrofin, advil, motrin, nurofen, brufen"""),
+    "acetaminophen": (
+        "acetaminophen", "acetominophen", "acetaminaphen", "tylenol", "paracetamol", "apap", "panadol",
+    ),
+    "ibuprofen": (
+        "ibuprofen", "ibuprophen", "ibufrofen", "ibufrofin", "advil", "motrin", "nurofen", "brufen",
+    ),
 }
 OTHERS = {
-    "aspirin": _terms("""aspirin, acetylsalicylic acid, asa, bayer, bufferin, ecotrin, anacin, vazalore, durlaza, excedrin, alka-seltzer,
-        alka seltzer, bc powder, asprin, aspirine"""),
-    "naproxen": _terms("""naproxen, naproxen sodium, aleve, anaprox, naprosyn, naprelan, vimovo, treximet, flanax, naproxin, naproxene, neproxen"""),
-    "diclofenac": _terms("""diclofenac, diclofenac sodium, diclofenac potassium, voltaren, voltarol, cataflam, cambia, flector, pennsaid,
-        zorvolex, zipsor, arthrotec, dicloflenac, declofenac, diclofinac, diklofenac"""),
-    "ketoprofen": _terms("""ketoprofen, orudis, oruvail, ketum"""),
-    "meloxicam": _terms("""meloxicam, mobic, vivlodex, qmiiz, anjeso"""),
-    "celecoxib": _terms("""celecoxib, celebrex, elyxyb, celekoxib, celebrax"""),
-    "diphenhydramine": _terms("""diphenhydramine, diphenhydramine hydrochloride, diphenhydramine citrate, benadryl, zzzquil, unisom, nytol,
-        sominex, simply sleep, tylenol pm, advil pm, aleve pm, benedryl, bendryl, bendadryl, benadril, dyphenhydramine, dipenhydramine"""),
-    "codeine": _terms("""codeine, codeine phosphate, co-codamol, co codamol, cocodamol, tylenol with codeine, tylenol 3, tylenol #3,
-        robitussin ac, virtussin ac, cheratussin ac, tuzistra xr, solpadeine, panadeine, codine, codein, codiene"""),
-    "tramadol": _terms("""tramadol, ultram, ultracet, conzip, qdolo, tramal, tramodol, tramadal, tramadrol, tramdol, trammadol"""),
-    "cough_cold_medicine": _terms("""cough syrup, cough syrups, cough medicine, cough medicines, cough suppressant, cough suppressants,
-        dextromethorphan, dxm, guaifenesin, guaiphenesin, benzonatate, tessalon, delsym, robitussin, mucinex, musinex, nyquil, dayquil,
-        benylin, tussin, buckley's, buckleys, bromfed, dimetapp, theraflu, neocitran, neocitron"""),
+    "aspirin": (
+        "aspirin", "acetylsalicylic acid", "asa", "bayer", "bufferin", "ecotrin", "anacin", "vazalore", "durlaza", "excedrin", "alka-seltzer",
+        "alka seltzer", "bc powder", "asprin", "aspirine",
+    ),
+    "naproxen": (
+        "naproxen", "naproxen sodium", "aleve", "anaprox", "naprosyn", "naprelan", "vimovo", "treximet", "flanax", "naproxin", "naproxene",
+        "neproxen",
+    ),
+    "diclofenac": (
+        "diclofenac", "diclofenac sodium", "diclofenac potassium", "voltaren", "voltarol", "cataflam", "cambia", "flector", "pennsaid",
+        "zorvolex", "zipsor", "arthrotec", "dicloflenac", "declofenac", "diclofinac", "diklofenac",
+    ),
+    "ketoprofen": (
+        "ketoprofen", "orudis", "oruvail", "ketum",
+    ),
+    "meloxicam": (
+        "meloxicam", "mobic", "vivlodex", "qmiiz", "anjeso",
+    ),
+    "celecoxib": (
+        "celecoxib", "celebrex", "elyxyb", "celekoxib", "celebrax",
+    ),
+    "diphenhydramine": (
+        "diphenhydramine", "diphenhydramine hydrochloride", "diphenhydramine citrate", "benadryl", "zzzquil", "unisom", "nytol", "sominex",
+        "simply sleep", "tylenol pm", "advil pm", "aleve pm", "benedryl", "bendryl", "bendadryl", "benadril", "dyphenhydramine",
+        "dipenhydramine",
+    ),
+    "codeine": (
+        "codeine", "codeine phosphate", "co-codamol", "co codamol", "cocodamol", "tylenol with codeine", "tylenol 3", "tylenol #3",
+        "robitussin ac", "virtussin ac", "cheratussin ac", "tuzistra xr", "solpadeine", "panadeine", "codine", "codein", "codiene",
+    ),
+    "tramadol": (
+        "tramadol", "ultram", "ultracet", "conzip", "qdolo", "tramal", "tramodol", "tramadal", "tramadrol", "tramdol", "trammadol",
+    ),
+    "cough_cold_medicine": (
+        "cough syrup", "cough syrups", "cough medicine", "cough medicines", "cough suppressant", "cough suppressants", "dextromethorphan",
+        "dxm", "guaifenesin", "guaiphenesin", "benzonatate", "tessalon", "delsym", "robitussin", "mucinex", "musinex", "nyquil", "dayquil",
+        "benylin", "tussin", "buckley's", "buckleys", "bromfed", "dimetapp", "theraflu", "neocitran", "neocitron",
+    ),
 }
-DOSING = _terms("""can I take, can I take more, take another, another dose, how much, how many, too much, overdose, accidentally took, took
-        too many, last dose, next dose, wait, hours ago, 24 hours, same day, mg, tablet, caplet, pill, dose, dosage, every 4 hours, every 6
-        hours, every 8 hours, every 12 hours, mixed with, combine, safe to take""")
-EXCLUDED = _terms("""dog, cat, pet, baby, infant, toddler, child, kid, pregnant, pregnancy, coupon, sale, ad, commercial, news, lawsuit,
-        stock, meme, joke, recreational, trip, getting high""")
+DOSING = (
+    "can I take", "can I take more", "take another", "another dose", "how much", "how many", "too much", "overdose", "accidentally took",
+    "took too many", "last dose", "next dose", "wait", "hours ago", "24 hours", "same day", "mg", "tablet", "caplet", "pill", "dose", "dosage",
+    "every 4 hours", "every 6 hours", "every 8 hours", "every 12 hours", "mixed with", "combine", "safe to take",
+)
+EXCLUDED = (
+    "dog", "cat", "pet", "baby", "infant", "toddler", "child", "kid", "pregnant", "pregnancy", "coupon", "sale", "ad", "commercial", "news",
+    "lawsuit", "stock", "meme", "joke", "recreational", "trip", "getting high",
+)
+# fmt: on
 
 
 @dataclass(frozen=True)
